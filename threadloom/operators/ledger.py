@@ -22,7 +22,7 @@ from threadloom.schema import (
 )
 from threadloom.session import materialize
 
-_CODE_STEP = 4  # room for a status code below each microsecond
+_CODE_BITS = 2  # room for a status code below each microsecond
 
 
 def seed_job_types(spark: SparkSession, now: Column | None = None) -> DataFrame:
@@ -185,12 +185,12 @@ def job_latest(events: DataFrame) -> DataFrame:
     """
     code = F.try_element_at(
         literal_map({word: str(i) for i, word in enumerate(JOB_STATUSES)}), "JobStatus")
-    packed = F.unix_micros(F.col("at").cast("timestamp")) * _CODE_STEP + code.cast("bigint")
+    packed = F.shiftleft(F.unix_micros(F.col("at").cast("timestamp")), _CODE_BITS) + code.cast("bigint")
     last = F.col("_last")
-    last_code = F.pmod(last, F.lit(_CODE_STEP))
+    last_code = last.bitwiseAND(F.lit((1 << _CODE_BITS) - 1))
     status = F.element_at(
         F.array(*[F.lit(word) for word in JOB_STATUSES]), (last_code + 1).cast("int"))
-    ended = F.timestamp_micros(F.floor((last - last_code) / _CODE_STEP)).cast("timestamp_ntz")
+    ended = F.timestamp_micros(F.shiftright(last, _CODE_BITS)).cast("timestamp_ntz")
     state = events.groupBy("SubredditJobId").agg(
         F.min("at").alias("JobStartDate"), F.max(packed).alias("_last"))
     return state.select(

@@ -20,14 +20,12 @@ def thread_union(headings: DataFrame, comments: DataFrame) -> DataFrame:
     return headings.unionByName(comments, allowMissingColumns=True)
 
 
-def _ids_by_chunk(comments: DataFrame, chunk: int) -> DataFrame:
-    """(ParentPostId, chunk, ids in document order) with at most `chunk` positions per row."""
+def _ids(comments: DataFrame, *by: Column | str) -> DataFrame:
+    """Comment ids in document order, per group."""
     ordered = F.array_sort(F.collect_list(F.struct("pos", "Id")))
-    return (
-        comments
-        .groupBy("ParentPostId", F.floor((F.col("pos") - 1) / chunk).cast("int").alias("chunk"))
-        .agg(F.transform(ordered, lambda item: item["Id"]).alias("_ids"))
-    )
+    return comments.groupBy(*by).agg(
+        F.transform(ordered, lambda item: item["Id"]).alias("_ids")
+    ).withColumnRenamed("ParentPostId", "Id")
 
 
 def related_map(ids: Column) -> Column:
@@ -43,13 +41,12 @@ def attach_related_ids(posts: DataFrame, comments: DataFrame, chunk: int = CHUNK
     comments = comments.select("ParentPostId", "pos", "Id")
     posts = posts.drop("RelatedCommentId")
 
-    def chunks(rows: DataFrame) -> DataFrame:
-        return _ids_by_chunk(rows, chunk).withColumnRenamed("ParentPostId", "Id")
-
-    first = posts.join(
-        chunks(comments.filter(F.col("pos") <= chunk)).drop("chunk"), "Id", "left"
-    ).withColumn("chunk", F.lit(0))
-    rest = spread_join(chunks(comments.filter(F.col("pos") > chunk)), posts, "Id")
+    # Grouped by the join key alone, so the join takes the grouping's partitions as they are.
+    head = _ids(comments.filter(F.col("pos") <= chunk), "ParentPostId")
+    first = posts.join(head, "Id", "left").withColumn("chunk", F.lit(0))
+    nth = F.floor((F.col("pos") - 1) / chunk).cast("int").alias("chunk")
+    tail = _ids(comments.filter(F.col("pos") > chunk), "ParentPostId", nth)
+    rest = spread_join(tail, posts, "Id")
     no_ids = F.array().cast("array<string>")
     return first.unionByName(rest).withColumn(
         "RelatedCommentId", related_map(F.coalesce(F.col("_ids"), no_ids))).drop("_ids")

@@ -65,7 +65,7 @@ def listing(spark: SparkSession, sf_dir: str, n_boards: int = 5) -> DataFrame:
     event, kind = F.col("event_id"), F.col("event_type")
     return table(spark, sf_dir, "events").select(
         (F.col("user_id") % n_boards).cast("string").alias("board"),
-        F.floor(event / LISTING_SPAN).alias("page_no"),
+        F.expr(f"event_id div {LISTING_SPAN}").alias("page_no"),
         (event % LISTING_SPAN).cast("int").alias("pos"),
         _text("t3_", event).alias("fullname"),
         (NOW_MS - F.floor(F.col("value") * 1000).cast("bigint") * 1000).alias("created_ms"),
