@@ -23,7 +23,7 @@ from pyspark.sql.types import (
 )
 
 from threadloom.functions import html
-from threadloom.functions.html import ListingReader, ThreadReader
+from threadloom.functions.html import ThreadReader, listing_elements
 from threadloom.functions.scalars import iso_to_millis
 from threadloom.operators.threads import related_map
 
@@ -74,9 +74,6 @@ def _per_page(
 def _listing_elements(page: str) -> list[dict]:
     if "data-fullname" not in page:
         return []
-    reader = ListingReader()
-    reader.feed(page)
-    reader.close()
     return [
         {
             "pos": pos,
@@ -85,7 +82,7 @@ def _listing_elements(page: str) -> list[dict]:
             "permalink": found.get("data-permalink"),
             "promoted": found.get("data-promoted"),
         }
-        for pos, found in enumerate(reader.elements)
+        for pos, found in enumerate(listing_elements(page))
     ]
 
 

@@ -44,16 +44,23 @@ def spread_join(big: DataFrame, unique: DataFrame, on: str, how: str = "inner")
     return salted_join(big, unique, on, how)
 
 
+def sized_join(
+    big: DataFrame, small: DataFrame, on: str, how: str, n_rows: int,
+    max_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Join with a side counted to have `n_rows`: broadcast within `max_rows`, else spread."""
+    if n_rows <= max_rows:
+        return big.join(F.broadcast(small), on, how)
+    return spread_join(big, small, on, how)
+
+
 def lookup_join(
     big: DataFrame, small: DataFrame, on: str, how: str = "inner",
     max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Join `big` with an aggregated lookup that is usually, but not provably, small.
 
-    The lookup is computed once and counted: within `max_rows` it is broadcast and `big` is not
-    shuffled, beyond that the join is a spread one.
+    The lookup is computed once and counted; if it is broadcast, `big` is not shuffled.
     """
     small = materialize(small)
-    if small.count() <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    return spread_join(big, small, on, how)
+    return sized_join(big, small, on, how, small.count(), max_rows)

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions.scalars import DEFAULT_PERIOD, PAGE_SIZE, in_period, in_period_by
-from threadloom.operators.joins import lookup_join
+from threadloom.operators.joins import lookup_join, sized_join
+from threadloom.session import materialize
 
 # first_n merges candidates in two steps; this many groups per board share the first.
 _MERGE_WIDTH = 256
@@ -109,20 +110,21 @@ def select_by_plan(listing: DataFrame, plan: DataFrame, now: datetime | int) ->
     `plan` has one row per board: board, mode ('all', 'count' or 'period'), count_limit, period.
     Boards without a plan are not taken.
     """
-    rows = lookup_join(
-        organic(listing), plan.select("board", "mode", "count_limit", "period"), "board")
+    plan = materialize(plan.select("board", "mode", "count_limit", "period"))
+    by_count = F.col("mode") == "count"
+    size = plan.agg(
+        F.count("*").alias("n"), F.max(F.when(by_count, F.col("count_limit"))).alias("most")).first()
+    rows = sized_join(organic(listing), plan, "board", "inner", size.n)
 
     period = F.coalesce(F.nullif("period", F.lit(0)), F.lit(DEFAULT_PERIOD))
     stops = _stops(rows.filter(
         (F.col("mode") == "period") & ~in_period_by("created_ms", now, period)))
 
-    limits = plan.filter(F.col("mode") == "count")
-    most = limits.agg(F.max("count_limit")).first()[0]
-    if most is not None:
+    if size.most is not None:
         # The row after the last one wanted is the stop of a count board.
         leading = first_n_organic(
-            rows.filter(F.col("mode") == "count").select("board", "page_no", "pos", "count_limit"),
-            int(most) + 1)
+            rows.filter(by_count).select("board", "page_no", "pos", "count_limit"),
+            int(size.most) + 1)
         nth = F.row_number().over(Window.partitionBy("board").orderBy(listing_rank()))
         stops = stops.unionByName(
             leading.withColumn("_nth", nth)
