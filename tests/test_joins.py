@@ -75,11 +75,24 @@ def test_adaptive_execution_splits_the_hot_key(spark, conf):
 def test_assign_serials(spark):
     names = [f"name {i}" for i in range(500)] + ["", "é"]
     df = spark.createDataFrame([(n,) for n in names], "name string").repartition(5)
-    got = {r.name: r.no for r in assign_serials(df, "name", F.lit(40), "no").collect()}
+    got = {r.name: r.no for r in assign_serials(df, "name", {"no": F.lit(40)}).collect()}
     ordered = sorted(names, key=lambda n: (hashlib.md5(n.encode()).hexdigest(), n))
     assert got == {name: 41 + i for i, name in enumerate(ordered)}
 
 
+def test_assign_serials_where(spark):
+    names = [f"n{i}" for i in range(300)]
+    df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, a int")
+    even = F.col("a") % 2 == 0
+    out = assign_serials(
+        df, "name", {"a": F.lit(1000), "b": F.lit(0)}, {"a": even}).collect()
+    ordered = sorted(names, key=lambda n: hashlib.md5(n.encode()).hexdigest())
+    evens = [n for n in ordered if int(n[1:]) % 2 == 0]
+    assert {r.name: r.b for r in out} == {n: 1 + i for i, n in enumerate(ordered)}
+    assert {r.name: r.a for r in out} == {
+        n: 1001 + evens.index(n) if n in evens else int(n[1:]) for n in names}
+
+
 def test_materialize_uses_the_named_folder(spark):
     folder = ensure_checkpoint_dir(spark)
     df = materialize(spark.range(10))

@@ -47,8 +47,9 @@ def active_schedules(boards: DataFrame, schedules: DataFrame) -> DataFrame:
     ).select("SubredditId", "SubredditName", "SubredditScheduleId", "LastParsedDate")
 
 
-def latest_schedule(boards: DataFrame, schedules: DataFrame) -> DataFrame:
-    """Per board name: the greatest board id that has an active schedule, and its last schedule.
+def _schedules_by_name(boards: DataFrame, schedules: DataFrame, how: str) -> DataFrame:
+    """Per board name: its greatest board id as `_any_board`, and of the greatest board id with an
+    active schedule that id, its last schedule and date.
 
     Schedules are first reduced to one per board, so that neither the join nor the grouping by
     name sees a hot key.
@@ -57,16 +58,21 @@ def latest_schedule(boards: DataFrame, schedules: DataFrame) -> DataFrame:
         F.max("SubredditScheduleId").alias("SubredditScheduleId"),
         F.max_by("LastParsedDate", "SubredditScheduleId").alias("LastParsedDate"),
     )
-    return (
-        boards.select("SubredditId", "SubredditName").join(per_board, "SubredditId")
-        .groupBy("SubredditName").agg(
-            F.max("SubredditId").alias("SubredditId"),
-            F.max_by("SubredditScheduleId", "SubredditId").alias("SubredditScheduleId"),
-            F.max_by("LastParsedDate", "SubredditId").alias("LastParsedDate"),
-        )
+    both = boards.select("SubredditId", "SubredditName").join(per_board, "SubredditId", how)
+    scheduled = F.when(F.col("SubredditScheduleId").isNotNull(), F.col("SubredditId"))
+    return both.groupBy("SubredditName").agg(
+        F.max("SubredditId").cast("bigint").alias("_any_board"),
+        F.max(scheduled).cast("bigint").alias("SubredditId"),
+        F.max_by("SubredditScheduleId", scheduled).cast("bigint").alias("SubredditScheduleId"),
+        F.max_by("LastParsedDate", scheduled).alias("LastParsedDate"),
     )
 
 
+def latest_schedule(boards: DataFrame, schedules: DataFrame) -> DataFrame:
+    """Per board name: the greatest board id that has an active schedule, and its last schedule."""
+    return _schedules_by_name(boards, schedules, "inner").drop("_any_board")
+
+
 def lookup_board(boards: DataFrame, schedules: DataFrame, name: str) -> DataFrame:
     """The one-row answer for a board name (empty if it has no active schedule)."""
     found = active_schedules(boards.filter(F.col("SubredditName") == name), schedules)
@@ -96,7 +102,7 @@ def get_or_create(
     found = both.filter(F.col(id_column).isNotNull()).withColumn("created", F.lit(False))
     new = assign_serials(
         both.filter(F.col(id_column).isNull()).select(name), name,
-        _max_id(existing, id_column), id_column)
+        {id_column: _max_id(existing, id_column)})
     return found.unionByName(new.withColumn("created", F.lit(True)))
 
 
@@ -113,17 +119,23 @@ def get_or_create_board(
     without a date; an unknown name gets both. `created_board` and `created_schedule` tell which
     rows to append.
     """
-    board = get_or_create(boards, requested, "SubredditName", "SubredditId").withColumnsRenamed(
-        {"SubredditId": "_any_board", "created": "created_board"})
-    state = materialize(board.join(latest_schedule(boards, schedules), "SubredditName", "left"))
-    # The board that has the schedule wins; else the greatest id of that name.
-    state = state.withColumn("SubredditId", F.coalesce("SubredditId", "_any_board"))
-    ready = state.filter(F.col("SubredditScheduleId").isNotNull()).withColumn(
-        "created_schedule", F.lit(False))
+    wanted = requested.select("SubredditName").filter(
+        F.col("SubredditName").isNotNull()).distinct()
+    known = _schedules_by_name(boards, schedules, "left")
+    state = materialize(
+        wanted.join(known, "SubredditName", "left")
+        .withColumns({
+            "created_board": F.col("_any_board").isNull(),
+            "created_schedule": F.col("SubredditScheduleId").isNull(),
+            "SubredditId": F.coalesce("SubredditId", "_any_board"),
+        })
+        .drop("_any_board"))
+    ready = state.filter(~F.col("created_schedule"))
     new = assign_serials(
-        state.filter(F.col("SubredditScheduleId").isNull()).drop("SubredditScheduleId"),
-        "SubredditName", _max_id(schedules, "SubredditScheduleId"), "SubredditScheduleId",
-    ).withColumn("created_schedule", F.lit(True))
+        state.filter("created_schedule"), "SubredditName",
+        {"SubredditId": _max_id(boards, "SubredditId"),
+         "SubredditScheduleId": _max_id(schedules, "SubredditScheduleId")},
+        {"SubredditId": F.col("created_board")})
     return ready.unionByName(new).select(
         "SubredditName", "SubredditId", "SubredditScheduleId", "LastParsedDate",
         "created_board", "created_schedule")

@@ -405,7 +405,8 @@ c as (
 select "Type", "Id", "AuthorId",
   case when "Type" = 'Post' then "AuthorName" end as "AuthorName",
   case when planned.b = 2 then 'topall' else 'new' end as "SubredditRankingType",
-  "Permalink", {_TRIM} as "Comment", "CreatedAt", "ParentCommentId", "ParentPostId",
+  "Permalink", {_TRIM} as "Comment", "CreatedAt",
+  case when (e.pos - 1) % 200 <> 0 then "ParentCommentId" end as "ParentCommentId", "ParentPostId",
   '/r/b' || planned.b || case when planned.b = 2 then '/top/?sort=top&t=all' else '/new/' end
     as "SubredditName",
   true as "IsActive", '2024-01-31 00:00:00' as "ParsedTime",

@@ -520,7 +520,8 @@ def publish_threads(spark, sf_dir):
     plan = _board_plan(listed).withColumns({
         "path": fx.board_path(F.concat(F.lit("r/b"), F.col("board")), ranking),
         "ranking": ranking})
-    messages = publish.publish_messages(
+    published = publish.publish_records(
         views.listing_page_html(listed), views.thread_page_html(records), plan,
         views.NOW_MS, views.BASE_URL, views.run_time(), _PARTS)
-    return flat(parse.parse_envelope(messages))
+    whole = published.filter((F.col("Type") == "Comment") | (F.col("part") == 0))
+    return flat(parse.parse_envelope(parse.encode_json(whole)))

@@ -119,7 +119,7 @@ class Ledger:
         boards = self.boards(names)
         first = self.table("JobEvent").agg(
             F.coalesce(F.max("SubredditJobId"), F.lit(0))).scalar()
-        runs = materialize(assign_serials(boards, "SubredditName", first, "SubredditJobId"))
+        runs = materialize(assign_serials(boards, "SubredditName", {"SubredditJobId": first}))
         opened = runs.withColumns({"at": F.current_timestamp(), "JobStatus": F.lit("started")})
         self._append("JobEvent", opened.select("SubredditJobId", "at", "JobStatus"))
         attached = ledger.attach_job(
