@@ -1,9 +1,11 @@
 """Page extraction on hand-made pages and on generated thread trees."""
 
+from html.parser import HTMLParser
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from threadloom.functions.html import ThreadReader
+from threadloom.functions.html import ThreadReader, listing_elements
 from threadloom.operators import extract
 
 HEADING = (
@@ -173,6 +175,49 @@ def test_generated_threads(forest, post_body):
     assert text == ("post" if post_body else first_text)
 
 
+class StandardReader(HTMLParser):
+    """Listing elements by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.found = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "div":
+            values = {name: value or None for name, value in reversed(attrs)}
+            if "data-fullname" in values:
+                self.found.append(values)
+
+
+names = st.sampled_from(["data-fullname", "Data-Promoted", "class", "x-1", "data-timestamp"])
+plain = st.text(alphabet="abc19/:_-.", min_size=1, max_size=6)
+quoted = st.text(alphabet="ab <>/='&;", max_size=8)
+attributes = st.one_of(
+    names,
+    st.builds("{}={}".format, names, plain.filter(lambda v: not v.endswith("/"))),
+    st.builds('{} = "{}"'.format, names, quoted),
+    st.builds("{}='{}'".format, names, quoted.map(lambda v: v.replace("'", "&quot;"))),
+)
+tags = st.builds(
+    lambda tag, parts, end: f"<{' '.join([tag, *parts])}{end}>",
+    st.sampled_from(["div", "DIV", "p", "divider", "a"]), st.lists(attributes, max_size=4),
+    st.sampled_from(["", " ", " /"]))
+markup = st.lists(st.one_of(
+    tags, st.sampled_from([
+        "</div>", "</p >", "text & more", "a < b", "<!-- <div data-fullname=c> -->", "<!doctype x>",
+        "<script>'<div data-fullname=s>'</script>", "<STYLE a='>'><div data-fullname=t></style>"]),
+), max_size=8).map("".join)
+
+
+@given(markup)
+@settings(max_examples=500, deadline=None)
+def test_tags_are_read_as_the_standard_parser_does(text):
+    standard = StandardReader()
+    standard.feed(text)
+    standard.close()
+    assert listing_elements(text) == standard.found
+
+
 @given(st.text(alphabet="<>/!-=&\"' adivmthng[]?;#x0", max_size=60))
 @settings(max_examples=400, deadline=None)
 def test_any_text_can_be_read(text):

@@ -20,7 +20,7 @@ HIDDEN_TAGS = frozenset("rp rt script style template".split())
 # A quote opens a value only after `=`; atomic parts keep the match linear on broken markup.
 _ATTRIBUTES = r"""(?>[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+"""
 _HIDDEN = rf"""(?P<raw>[sS](?:[cC][rR][iI][pP][tT]|[tT][yY][lL][eE]))(?=[\s/>]){_ATTRIBUTES}>
-        .*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)
+        .*?(?:</(?i:(?P=raw))(?=[\s/>])[^>]*>|\Z)
     |!--(?:.*?-->|.*)"""
 _TOKEN = re.compile(
     rf"""<(?:{_HIDDEN}
@@ -43,11 +43,11 @@ _BARE_VALUE_WITH_SLASH = re.compile(r"""=\s*[^\s"'][^\s]*/$""")
 
 def _attributes(text: str) -> list[tuple[str, str]]:
     """Names and values as written in a tag; a name without a value has an empty one."""
+    found = _ATTRIBUTE.findall(text)
     if "&" in text:
         return [(name.lower(), unescape(double or single or bare))
-                for name, double, single, bare in _ATTRIBUTE.findall(text)]
-    return [(name.lower(), double or single or bare)
-            for name, double, single, bare in _ATTRIBUTE.findall(text)]
+                for name, double, single, bare in found]
+    return [(name.lower(), double or single or bare) for name, double, single, bare in found]
 
 
 def listing_elements(page: str) -> list[dict[str, str | None]]:
@@ -55,9 +55,8 @@ def listing_elements(page: str) -> list[dict[str, str | None]]:
     elements = []
     for _, attributes in _DIV.findall(page):
         if attributes and "data-fullname" in attributes.lower():
-            found: dict[str, str | None] = {}
-            for name, value in _attributes(attributes):
-                found.setdefault(name, value or None)  # a browser keeps the first of two
+            # Last to first, because a browser keeps the first of two.
+            found = {name: value or None for name, value in reversed(_attributes(attributes))}
             if "data-fullname" in found:
                 elements.append(found)
     return elements

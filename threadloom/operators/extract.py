@@ -55,7 +55,7 @@ _THREAD = StructType([
 
 
 def _per_page(
-    pages: DataFrame, keys: tuple[str, ...], rows: StructType, read: Callable[[str], list[dict]]
+    pages: DataFrame, keys: tuple[str, ...], rows: StructType, read: Callable[[str], list[tuple]]
 ) -> DataFrame:
     """Pages with `rows`, the array of what `read` finds in each one's html."""
     key_fields = [pages.schema[key] for key in keys]
@@ -63,26 +63,32 @@ def _per_page(
     rows_type = to_arrow_schema(out).field("rows").type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = list(rows_type.value_type)
         for batch in batches:
-            found = [read(page or "") for page in batch.column("html").to_pylist()]
-            columns = [batch.column(key) for key in keys] + [pa.array(found, rows_type)]
-            yield pa.RecordBatch.from_arrays(columns, [*keys, "rows"])
+            found: list[tuple] = []
+            ends = [0]
+            for page in batch.column("html").to_pylist():
+                found += read(page or "")
+                ends.append(len(found))
+            values = list(zip(*found)) if found else [()] * len(fields)
+            flat = pa.StructArray.from_arrays(
+                [pa.array(column, field.type) for column, field in zip(values, fields)],
+                fields=fields)
+            arrays = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, type=rows_type)
+            columns = [batch.column(key) for key in keys]
+            yield pa.RecordBatch.from_arrays([*columns, arrays], [*keys, "rows"])
 
     return pages.select(*keys, "html").mapInArrow(run, out)
 
 
-def _listing_elements(page: str) -> list[dict]:
+def _listing_elements(page: str) -> list[tuple]:
+    """Values of _ELEMENT for each element of a listing page."""
     if "data-fullname" not in page:
         return []
     return [
-        {
-            "pos": pos,
-            "fullname": found.get("data-fullname"),
-            "timestamp": found.get("data-timestamp"),
-            "permalink": found.get("data-permalink"),
-            "promoted": found.get("data-promoted"),
-        }
-        for pos, found in enumerate(listing_elements(page))
+        (pos, get("data-fullname"), get("data-timestamp"), get("data-permalink"),
+         get("data-promoted"))
+        for pos, get in enumerate(found.get for found in listing_elements(page))
     ]
 
 
@@ -111,37 +117,26 @@ def _text(texts: list[str] | None) -> str | None:
     return None if texts is None else "".join(texts)
 
 
-def _thread_records(page: str, own_text_only: bool) -> list[dict]:
+def _thread_records(page: str, own_text_only: bool) -> list[tuple]:
+    """Values of _THREAD for the heading and each comment of a thread page."""
     reader = ThreadReader(own_text_only).read(page)
     if reader.heading is None:
         return []
-    post_id = reader.heading.get("data-fullname")
-    heading = {
-        "pos": 0,
-        "Type": "Post",
-        "Id": post_id,
-        "AuthorId": reader.heading.get("data-author-fullname"),
-        "AuthorName": reader.heading.get("data-author"),
-        "Permalink": reader.heading_link,
-        "Comment": _text(reader.heading_texts),
-        "_time": reader.heading.get("data-timestamp"),
-        "_related": [comment["values"].get("data-fullname") for comment in reader.comments],
-    }
-    return [heading] + [
-        {
-            "pos": pos,
-            "Type": "Comment",
-            "Id": comment["values"].get("data-fullname"),
-            "AuthorId": comment["values"].get("data-author-fullname"),
-            "Author": comment["values"].get("data-author"),
-            "Permalink": comment["values"].get("data-permalink"),
-            "Comment": _text(comment.get("texts")),
-            "_time": comment.get("time"),
-            "ParentCommentId": comment["parent"],
-            "ParentPostId": post_id,
-        }
-        for pos, comment in enumerate(reader.comments, start=1)
-    ]
+    get = reader.heading.get
+    post_id = get("data-fullname")
+    ids = [comment["values"].get("data-fullname") for comment in reader.comments]
+    records = [(
+        0, "Post", post_id, get("data-author-fullname"), get("data-author"), None,
+        reader.heading_link, _text(reader.heading_texts), get("data-timestamp"), None, None, ids,
+    )]
+    for pos, comment in enumerate(reader.comments, start=1):
+        get = comment["values"].get
+        records.append((
+            pos, "Comment", ids[pos - 1], get("data-author-fullname"), None, get("data-author"),
+            get("data-permalink"), _text(comment.get("texts")), comment.get("time"),
+            comment["parent"], post_id, None,
+        ))
+    return records
 
 
 def extract_thread(

@@ -12,13 +12,19 @@ from threadloom.operators.extract import extract_listing, extract_thread
 from threadloom.operators.joins import lookup_join
 from threadloom.operators.listing import select_by_plan
 from threadloom.operators.parse import encode_json, enrich
+from threadloom.session import materialize
 
 
 def selected_threads(
     listing_pages: DataFrame, plan: DataFrame, now: datetime | int, base_url: str
 ) -> DataFrame:
-    """(url, path, ranking) of every post the plan takes from the listing pages."""
-    chosen = select_by_plan(extract_listing(listing_pages), plan, now)
+    """(url, path, ranking) of every post the plan takes from the listing pages.
+
+    Cut-offs and selection each go over the listing, so its rows, which are far smaller than the
+    pages, are kept and the pages read once.
+    """
+    listing = materialize(extract_listing(listing_pages))
+    chosen = select_by_plan(listing, plan, now)
     runs = lookup_join(chosen, plan.select("board", "path", "ranking"), "board")
     return runs.select(absolute_url(base_url, "permalink").alias("url"), "path", "ranking")
 
