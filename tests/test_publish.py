@@ -7,6 +7,7 @@ import pytest
 from test_extract import comment, page
 
 from threadloom.jobs import publish_pages, stream_messages
+from threadloom.plans.publish import publish_records
 from threadloom.plans.runs import Ledger
 
 SITE = "https://forum.example"
@@ -76,6 +77,20 @@ def test_messages(spark, site, tmp_path):
     assert "RelatedCommentId" not in reply and "ParentPostId" not in post
 
 
+def test_many_wanted_threads_are_joined_after_reading(spark, site):
+    listing, threads = (spark.read.parquet(path) for path in site)
+    plan = spark.createDataFrame(
+        [("r/x", "all", None, None, "/r/x/new/", "new"), ("r/news", "all", None, None, "/r/news/", "new")],
+        "board string, mode string, count_limit int, period double, path string, ranking string")
+
+    def records(max_broadcast):
+        out = publish_records(listing, threads, plan, 0, SITE, max_broadcast=max_broadcast)
+        return sorted(str(sorted(r.asDict().items())) for r in out.drop("ParsedTime").collect())
+
+    assert len(records(100)) == 15
+    assert records(100) == records(2)
+
+
 def test_second_run_takes_what_is_new(spark, site, tmp_path):
     publish(site, tmp_path)
     before = len(messages(spark, f"{tmp_path}/topic"))

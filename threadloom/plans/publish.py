@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.scalars import absolute_url
 from threadloom.operators.extract import extract_listing, extract_thread
-from threadloom.operators.joins import lookup_join
+from threadloom.operators.joins import MAX_BROADCAST_ROWS, lookup_join, spread_join
 from threadloom.operators.listing import select_by_plan
 from threadloom.operators.parse import encode_json, enrich
 from threadloom.session import materialize
@@ -37,15 +37,20 @@ def publish_records(
     base_url: str,
     run_time: Column | None = None,
     keys: tuple[str, ...] = ("url",),
+    max_broadcast: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Post and comment records of the threads the plan takes, with the run's data.
 
-    `plan` has one row per board: board, path, ranking and the columns of select_by_plan. Thread
-    pages are filtered by url before they are read.
+    `plan` has one row per board: board, path, ranking and the columns of select_by_plan. If the
+    wanted urls can be broadcast, only their pages are read. Otherwise pages are read first and
+    the records joined, so that markup, which is many times larger, is never shuffled.
     """
-    wanted = selected_threads(listing_pages, plan, now, base_url)
-    pages = lookup_join(thread_pages, wanted, "url")
-    records = extract_thread(pages, (*keys, "path", "ranking"))
+    wanted = materialize(selected_threads(listing_pages, plan, now, base_url))
+    if wanted.count() <= max_broadcast:
+        pages = thread_pages.join(F.broadcast(wanted), "url")
+        records = extract_thread(pages, (*keys, "path", "ranking"))
+    else:
+        records = spread_join(extract_thread(thread_pages, keys), wanted, "url")
     return enrich(records, F.col("path"), F.col("ranking"), run_time).drop("path", "ranking")
 
 
