@@ -21,6 +21,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", warehouse)
         .config("spark.driver.memory", "8g")
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")  # short jobs
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )

@@ -48,10 +48,6 @@ def messages(spark, topic):
     return [json.loads(r.value) for r in spark.read.text(topic).collect()]
 
 
-def post_ids(found):
-    return {m["Id"] for m in found if m["Type"] == "Post"}
-
-
 @pytest.mark.parametrize("extra, want", [
     (["-a"], {"t3_1", "t3_3", "t3_4", "t3_5", "t3_6"}),
     (["-l", "1"], {"t3_1", "t3_6"}),
@@ -59,14 +55,22 @@ def post_ids(found):
     (["-p", "86400"], {"t3_1", "t3_3", "t3_6"}),
     ([], {"t3_1", "t3_3", "t3_4", "t3_5", "t3_6"}),  # nothing known: whole boards
 ])
-def test_modes(spark, site, tmp_path, extra, want):
-    found = messages(spark, publish(site, tmp_path, *extra))
-    assert post_ids(found) == want
+def test_modes(spark, site, extra, want):
+    args = publish_pages.parse_args(
+        ["-lp", site[0], "-tp", site[1], "-bu", SITE, "-kt", "t", *extra])
+    runs = spark.createDataFrame(
+        [("r/x", None), ("r/news", None)], "SubredditName string, LastParsedDate timestamp")
+    listing, threads = (spark.read.parquet(path) for path in site)
+    found = publish_records(
+        listing, threads, publish_pages.run_plan(runs, args), int(time.time() * 1000), SITE
+    ).select("Type", "Id").collect()
+    assert {r.Id for r in found if r.Type == "Post"} == want
     assert len(found) == 3 * len(want)
 
 
 def test_messages(spark, site, tmp_path):
     found = messages(spark, publish(site, tmp_path, "-a"))
+    assert len(found) == 15
     post = next(m for m in found if m["Id"] == "t3_6")
     assert post["SubredditName"] == "/r/news/"
     assert post["RelatedCommentId"] == {"id": ["t1_6a", "t1_6b"]}
