@@ -59,7 +59,10 @@ def take_while(rows: DataFrame, keep: Column) -> DataFrame:
 
 
 def take_while_recent(listing: DataFrame, now: datetime | int, period: float | None) -> DataFrame:
-    """Non-promoted rows until the first one out of period, though later ones may qualify."""
+    """Non-promoted rows until the first one out of period, though later ones may qualify.
+
+    A row without a time does not stop its board.
+    """
     return take_while(organic(listing), in_period("created_ms", now, period or DEFAULT_PERIOD))
 
 
@@ -165,7 +168,8 @@ def with_blank_pages(pages: DataFrame) -> DataFrame:
 
 def mark_reached(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Pages with is_last (not full) and is_reached (no earlier page of the board was last)."""
-    pages = pages.withColumn("is_last", F.col("n_elements") < page_size)
+    # Used twice, and a small part of the listing it is grouped from.
+    pages = materialize(pages.withColumn("is_last", F.col("n_elements") < page_size))
     stops = pages.filter("is_last").groupBy("board").agg(F.min("page_no").alias("_stop_page"))
     return (
         lookup_join(pages, stops, "board", "left")

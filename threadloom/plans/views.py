@@ -6,8 +6,6 @@ table by column expressions; the rendered pages group by keys that bound a group
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def run_time() -> Column:
-    return F.lit(datetime.fromisoformat(NOW_TEXT)).cast("timestamp_ntz")
+    return F.lit(NOW_TEXT).cast("timestamp_ntz")
 
 
 def _text(*parts: Column | str) -> Column:

@@ -34,6 +34,7 @@ class StreamOptions:
     servers: str | None = None
     starting_offsets: str = "latest"
     max_per_trigger: int | None = None
+    source_options: dict[str, str] = field(default_factory=dict)
     sink_format: str = "mongodb"
     sink_options: dict[str, str] = field(default_factory=dict)
     # Option that names the table: spark.mongodb.collection, or a folder's `path`.
@@ -145,6 +146,6 @@ def start_job(
     """Messages of a topic, parsed and split into tables."""
     messages = read_messages(
         spark, options.topic, options.source_format, options.servers,
-        options.starting_offsets, options.max_per_trigger)
+        options.starting_offsets, options.max_per_trigger, **options.source_options)
     return start_routing(
         parse_envelope(messages, author_alias=options.author_alias), options, write)
