@@ -10,6 +10,9 @@ from pyspark.sql.window import Window
 
 from threadloom.session import ensure_checkpoint_dir, materialize
 
+# Keys of eight bytes that may be broadcast: some 24 MB as a hash table.
+MAX_BROADCAST_KEYS = 1_000_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -25,6 +28,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def without(rows: DataFrame, keys: DataFrame, key: str,
+            max_broadcast: int = MAX_BROADCAST_KEYS) -> DataFrame:
+    """Rows whose `key` is not among `keys`; rows with a null key stay.
+
+    The keys are counted; up to the bound they are broadcast and the rows stay where they are.
+    """
+    keys = cut(keys.where(F.col(key).isNotNull()).distinct())
+    if keys.count() <= max_broadcast:
+        keys = F.broadcast(keys)
+    return rows.join(keys, key, "left_anti")
+
+
 def global_rank(df: DataFrame, *keys: str) -> DataFrame:
     """`df` once, with `rank` (from 0, gapless, in the order of `keys`) and `total`.
 
