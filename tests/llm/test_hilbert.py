@@ -1,0 +1,78 @@
+import math
+import zlib
+from collections import Counter
+
+import __spark_entry__ as driver
+from conftest import DATA
+from edge import edge_docs, no_docs  # noqa: F401
+from pyspark.sql import functions as F
+
+from threadloom.llm import hilbert
+
+
+def test_curve_visits_every_cell_once_and_moves_one_step(spark):
+    for dims, bits in ((2, 3), (3, 3), (4, 2)):
+        steps = [F.shiftright("id", bits * i).bitwiseAND(F.lit((1 << bits) - 1)).alias(f"x{i}")
+                 for i in range(dims)]
+        cells = spark.range(1 << dims * bits).select(*steps)
+        rows = sorted(
+            (r.h, tuple(r)[:-1]) for r in cells.withColumn(
+                "h", hilbert.hilbert_index([F.col(f"x{i}") for i in range(dims)], bits)).collect())
+        assert [h for h, _ in rows] == list(range(1 << dims * bits))
+        assert all(sum(abs(a - b) for a, b in zip(p, q, strict=True)) == 1
+                   for (_, p), (_, q) in zip(rows, rows[1:], strict=False))
+
+
+def check(rows, docs, shards=16):
+    n = len(docs)
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == Counter(
+        (i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in docs)
+    by = {}
+    for r in rows:
+        by.setdefault(r.shard, []).append(r.slot)
+    sizes = [len(by.get(s, [])) for s in range(shards)]
+    assert max(sizes) - min(sizes) <= 1 and sum(sizes) == n
+    assert all(sorted(s) == list(range(len(s))) for s in by.values())
+    # shards are runs of the curve
+    ends = [(min(c), max(c)) for c in (
+        [r.curve for r in rows if r.shard == s] for s in sorted(by))]
+    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:], strict=False))
+    assert all(r.grown_shard is None and r.law == "rows" for r in rows)
+
+
+def test_registered_query(spark):
+    sf = f"{DATA}/sf0.01"
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select(
+        "doc_id", "text").collect()]
+    rows = driver.queries()["op1_hilbert_shards"](spark, sf).collect()
+    check(rows, docs)
+    assert len({r.curve for r in rows}) > 100
+
+
+def test_edge_rows(spark, edge_docs, no_docs):
+    extra = edge_docs.withColumns({"shard": F.lit("x"), "rank": F.lit(1), "curve": F.lit(None)})
+    check(hilbert.document_shards(extra).collect(),
+          [(r.doc_id, r.text) for r in edge_docs.collect()])
+    assert hilbert.document_shards(no_docs).collect() == []
+
+
+def test_one_cell_with_most_rows_is_divided(spark):
+    docs = spark.range(1000).select(
+        F.when(F.col("id") < 900, 7).otherwise(F.col("id")).alias("doc_id"),
+        F.lit("same").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    rows = hilbert.document_shards(docs).collect()
+    assert {math.floor(1000 / 16), math.ceil(1000 / 16)} >= set(
+        Counter(r.shard for r in rows).values())
+
+
+def test_shards_prune_by_every_dimension(spark, tmp_path):
+    rows = spark.range(4096).select(
+        (F.col("id") % 64).alias("a"), F.floor(F.col("id") / 64).alias("b"), "id")
+    sharded = hilbert.shard_rows(rows, ["a", "b"], ["id"], shards=16, bits=6)
+    bounds = hilbert.shard_bounds(sharded, ["a", "b"]).collect()
+    for d in ("a", "b"):
+        hit = [r for r in bounds if r[f"min_{d}"] <= 10 <= r[f"max_{d}"]]
+        assert len(hit) <= 6  # of 16: about squares of 16 by 16, where one order gives 16 or 1
+    hilbert.write_shards(sharded, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 4096 and back.where("shard = 3").count() == 256

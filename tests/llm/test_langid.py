@@ -1,0 +1,79 @@
+import zlib
+
+import __spark_entry__ as driver
+import pytest
+from conftest import DATA
+from edge import edge_docs, no_docs  # noqa: F401
+from pyspark.sql import functions as F
+
+from threadloom.llm import langid
+
+
+def test_registered_query_is_right_on_held_out_documents(spark):
+    sf = f"{DATA}/sf0.01"
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = driver.queries()["op6_word_first_language"](spark, sf).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(truth)
+    held = [r for r in rows if r.held_out]
+    assert {r.doc_id for r in held} == {
+        i for i in truth if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held) >= 0.98
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_held_out_labels_are_not_learned(small):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 == 2]
+    docs = small([(i, "bonjour le monde", "fr") for i in ids] +
+                 [(None, "hello there", "en")], "doc_id bigint, text string, lang string")
+    assert {r.lang_pred for r in langid.language_of(docs).collect()} == {langid.UNDETERMINED}
+
+
+WORDS = [("aa", "der", 9), ("aa", "hund", 1), ("bb", "the", 9), ("bb", "dog", 1)]
+GRAMS = [("aa", 1, "h", 1), ("aa", 2, "hu", 1), ("bb", 1, "h", 9), ("bb", 2, "do", 1),
+         ("bb", 1, "z", 1)]
+
+
+def test_known_words_come_first_then_the_longest_known_grams():
+    model = langid.Model(WORDS, GRAMS)
+    assert model.predict("DER der!", {})[0] == "aa"
+    assert model.predict("the", {})[0] == "bb"
+    # unseen words: "hu" is known with two letters, "h" alone would say the other language
+    assert model.predict("hux", {})[0] == "aa"
+    assert model.predict("xh", {})[0] == "bb"
+    assert model.predict("qqq", {}) == ("aa", 0.5)
+    for text in (None, "", " 123 ?! ²", "_"):
+        assert model.predict(text, {}) == ("und", 0.0)
+    assert model.predict("漢", {})[0] == "aa"  # a letter, though unknown
+
+
+def test_gram_counts_match_a_direct_count(small):
+    rows = small([("aa", "abab", 2), ("aa", "b", 3)], "lang string, word string, n bigint")
+    want = {}
+    for word, n in (("abab", 2), ("b", 3)):
+        marked = f" {word} "
+        for size in range(1, langid.MAX_N + 1):
+            for i in range(len(marked) - size + 1):
+                gram = marked[i:i + size]
+                if gram != " ":
+                    want[size, gram] = want.get((size, gram), 0) + n
+    got = {(r.size, r.gram): r.n for r in langid.gram_counts(rows).collect()}
+    assert got == want
+
+
+def test_sample_is_bounded_per_language(small):
+    docs = small([(i, "x", "aa" if i % 10 else "bb") for i in range(4000)],
+                 "doc_id bigint, text string, lang string")
+    counts = {r["lang"]: r["count"] for r in langid.training_rows(docs, 200).groupBy(
+        "lang").count().collect()}
+    assert counts["aa"] == pytest.approx(200, rel=0.3)
+    assert counts["bb"] == pytest.approx(200, rel=0.3)
+
+
+def test_edge_rows(edge_docs, no_docs):
+    docs = edge_docs.withColumns({"lang_pred": F.lit(1), "score": F.lit("x")})
+    rows = langid.language_of(docs).collect()
+    assert len(rows) == edge_docs.count()
+    by = {r.doc_id: r for r in rows}
+    assert all(by[i].lang_pred == "und" and by[i].score == 0 for i in (2, 3, 4))
+    assert by[None].held_out is False
+    assert langid.language_of(no_docs).collect() == []

@@ -1,0 +1,77 @@
+import __spark_entry__ as driver
+import corpus_pipeline
+import pytest
+from conftest import DATA
+from edge import edge_docs, no_docs  # noqa: F401
+from pyspark.sql import functions as F
+
+from threadloom.llm import decontam, langid, simhash
+
+SF = f"{DATA}/sf0.01"
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+@pytest.fixture(scope="module")
+def kept(spark, tmp_path_factory):
+    """Result of every stage, each run on what the one before it kept."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        folder = str(tmp_path_factory.mktemp("pipeline") / name)
+        stage(spark, out[-1], SF).write.parquet(folder)
+        out.append(spark.read.parquet(folder))
+    return out
+
+
+def texts(df):
+    return {r.doc_id: r.text for r in df.collect()}
+
+
+def test_stages_and_columns(kept):
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "language", "near_duplicates", "decontamination", "tokens"]
+    assert all(df.columns == kept[0].columns for df in kept[:4])
+    assert driver.queries()["pipeline"] is corpus_pipeline.run
+
+
+def test_language_stage_rejects_what_has_no_letter(kept):
+    before, after = texts(kept[0]), texts(kept[1])
+    assert after == {i: t for i, t in before.items() if any(map(str.isalpha, t or ""))}
+
+
+def test_near_duplicate_stage_keeps_one_of_each_group(kept):
+    before, after = texts(kept[1]), texts(kept[2])
+    groups = {r.doc_id: r.component_id for r in simhash.near_duplicates(kept[1]).collect()}
+    assert set(after) == set(groups.values()) and set(after) < set(before)
+    assert len({t for t in after.values()}) == len(after)
+
+
+def test_decontamination_stage_drops_benchmark_passages(spark, kept):
+    hit = {r.doc_id for r in decontam.contamination(
+        kept[2], spark.read.parquet(f"{SF}/benchmark.parquet")).where(
+        F.size("positions") > 0).collect()}
+    assert hit and set(texts(kept[3])) == set(texts(kept[2])) - hit
+
+
+def test_run_gives_the_last_stage(spark, kept):
+    got = corpus_pipeline.run(spark, SF)
+    key = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert sorted(map(tuple, got.select(key).collect())) == sorted(
+        map(tuple, kept[4].select(key).collect()))
+    assert got.where(F.size("ids") != F.col("n_tokens")).count() == 0
+
+
+def test_stages_take_edge_rows_and_no_rows(spark, edge_docs, no_docs):
+    docs = edge_docs.withColumns({"lang_pred": F.lit("x"), "score": F.lit(1), "row_": F.lit(2)})
+    for name in ("language", "near_duplicates", "decontamination"):
+        out = STAGES[name](spark, docs, SF)
+        assert out.columns == docs.columns and out.count() <= docs.count()
+        assert STAGES[name](spark, no_docs, SF).count() == 0
+    assert STAGES["tokens"](spark, docs, SF).count() == docs.count()
+    assert STAGES["tokens"](spark, no_docs, SF).count() == 0
+
+
+def test_language_stage_without_labels_rejects_nothing(spark, small):
+    docs = small([(1, "some text", None)], "doc_id bigint, text string, lang string")
+    assert STAGES["language"](spark, docs, SF).count() == 1
+    assert langid.train(docs).langs == []

@@ -1,0 +1,167 @@
+import random
+
+import __spark_entry__ as driver
+import pytest
+from conftest import DATA
+from pyspark.sql import functions as F
+
+from threadloom.llm import wrapper
+from threadloom.llm.dom import Node, Page
+
+PAGES = "page_id bigint, url string, html string"
+
+
+def lines(df):
+    return {r.page_id: r.text for r in df.collect()}
+
+
+def blocks(html):
+    return [t for t, _ in Page(html).blocks]
+
+
+def test_registered_query_gives_the_article_alone(spark):
+    """The brute-force version: text of h1 and p between the article tags, by plain search."""
+    import html
+    import re
+
+    sf = f"{DATA}/sf0.01"
+    got = driver.queries()["op4_wrapper_text"](spark, sf).collect()
+    pages = {r.page_id: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    assert sorted(r.page_id for r in got) == sorted(pages)
+    for r in got:
+        article = re.search(r"<article>(.*?)(</article>|$)", pages[r.page_id].html, re.S)[1]
+        parts = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split())
+                 for b in re.split(r"</?(?:p|h1|br)>", article)]
+        assert r.text == "\n".join(p for p in parts if p)
+        assert r.n_chars == len(r.text) and r.url == pages[r.page_id].url
+
+
+@pytest.mark.parametrize(("html", "want"), [
+    (None, []), ("", []), ("plain  text\n here", ["plain text here"]),
+    ("<p>a<p>b<br>c</p>d", ["a", "b", "c", "d"]),
+    ("<p>x &amp;&lt;&eacute;&#8364;&nbsp;y</p>", ["x &<é€ y"]),
+    ("<p title='a>b'>in <b>bold</b><i>!</i></p>", ["in bold!"]),
+    ("<script>if(a<b)'</p>'</script><style>p{}</style>t<!-- <p>no --><p>u", ["t", "u"]),
+    ("<ul><li>1<li>2<ul><li>3</ul></ul>", ["1", "2", "3"]),
+    ("<table><tr><td>a<td>b<tr><th>c</table>", ["a", "b", "c"]),
+    ("<div>a<div>b</div>c", ["a", "b", "c"]), ("a</p>b</div></b>c", ["a", "bc"]),
+    ("<!DOCTYPE html><title>no</title><p>yes", ["yes"]), ("<p>cut <b", ["cut"]),
+    ("<script>never closed", []), ("1 < 2 and 3 > 2", ["1 < 2 and 3 > 2"]),
+    ("<p a=\"unclosed>x</p><p>y</p>", ["x", "y"]),
+])
+def test_blocks(html, want):
+    got = blocks(html)
+    assert got == want or [" ".join(got)] == [" ".join(want)]
+
+
+def tree(spec):
+    node = Node(spec[0])
+    node.kids = [tree(k) for k in spec[1:]]
+    return node
+
+
+def brute_matching(a, b):
+    """Greatest matching by trying every way to pair two child lists in order."""
+    if a.label != b.label:
+        return 0
+
+    def lists(x, y):
+        if not x or not y:
+            return 0
+        return max(lists(x[1:], y), lists(x, y[1:]),
+                   brute_matching(x[0], y[0]) + lists(x[1:], y[1:]))
+
+    return 1 + lists(a.kids, b.kids)
+
+
+def random_tree(rng, depth=3):
+    return (rng.choice("ab"),) + tuple(
+        random_tree(rng, depth - 1) for _ in range(rng.randint(0, 3) if depth else 0))
+
+
+def test_simple_tree_matching_is_the_greatest():
+    rng = random.Random(0)
+    for _ in range(60):
+        a, b = tree(("r", random_tree(rng), random_tree(rng))), tree(("r", random_tree(rng)))
+        assert wrapper.matching(a, b) == brute_matching(a, b)
+        pairs = wrapper.align(a.kids, b.kids)
+        assert 1 + sum(wrapper.matching(a.kids[i], b.kids[j]) for i, j in pairs
+                       if i is not None and j is not None) == wrapper.matching(a, b)
+        assert [i for i, _ in pairs if i is not None] == list(range(len(a.kids)))
+        assert [j for _, j in pairs if j is not None] == list(range(len(b.kids)))
+
+
+def page(n, body):
+    return (n, f"http://h.org/{n}", body)
+
+
+def test_constant_nodes_are_template_and_varying_slots_content(small):
+    rows = [page(i, f"<div class=top>The Daily</div><div class=story><p>Story {i} goes on.</p>"
+                    f"<p>More of {i}.</p></div><p class=end>All rights reserved</p>")
+            for i in range(8)]
+    got = lines(wrapper.main_text(small(rows, PAGES)))
+    assert got == {i: f"Story {i} goes on.\nMore of {i}." for i in range(8)}
+    # too few pages to tell: nothing is dropped
+    few = lines(wrapper.main_text(small(rows[:2], PAGES)))
+    assert few[0] == "The Daily\nStory 0 goes on.\nMore of 0.\nAll rights reserved"
+
+
+def test_copies_of_one_page_keep_their_content(small):
+    rows = [page(i, "<article><h1>Same</h1><p>text</p></article>") for i in range(9)]
+    assert set(lines(wrapper.main_text(small(rows, PAGES))).values()) == {"Same\ntext"}
+
+
+def test_parts_that_are_no_content(small):
+    body = (
+        "<header><h1>Site</h1></header><nav><a href=/>Home</a></nav><div class='cookie-notice'>Ok?"
+        "</div><aside>Side {n}</aside><div id=sidebar>Bar {n}</div><div class='ad banner'>Buy {n}"
+        "</div><main><article><header><h1>Title {n}</h1></header><p>Body &amp; soul {n}.</p>"
+        "<ul><li>one</li><li>{n}</li></ul><p class=by>By us</p><form>Mail <input><button>Go</button></form>"
+        "<div class=share-links>Share {n}</div></article><section class=comments><article><p>First!"
+        " {n}</p></article></section></main><footer>Foot {n}</footer>")
+    rows = [page(i, body.format(n=i)) for i in range(6)]
+    got = lines(wrapper.main_text(small(rows, PAGES)))
+    assert got == {i: f"Title {i}\nBody & soul {i}.\none\n{i}" for i in range(6)}
+
+
+def test_menus_by_links(small):
+    rows = [page(i, "<div class=x>" + "".join(
+        f"<a href=/{i}>Link {i} {j}</a> " for j in range(5)) + f"</div><div class=y>Text {i} with"
+        " <a href=/>a link</a> in it.</div>") for i in range(6)]
+    got = lines(wrapper.main_text(small(rows, PAGES)))
+    assert got == {i: f"Text {i} with a link in it." for i in range(6)}
+
+
+def test_edge_rows(small):
+    rows = [(1, None, None), (2, "", ""), (2, "", ""), (None, "no scheme", "<p>a</p>"),
+            (3, "http://x/", "<p>" + "long " * 50_000), (4, "http://x/", "<div>" * 300 + "deep"),
+            (5, "http://x/", "<nav>only a menu</nav>"), (6, "http://x/", "<<<>>><p <p></")]
+    pages = small(rows, PAGES).withColumns({"host": F.lit(1), "text": F.lit("x")})
+    out = wrapper.main_text(pages).collect()
+    assert len(out) == len(rows)
+    got = {r.page_id: r.text for r in out}
+    assert got[1] == got[2] == got[5] == "" and got[None] == "a" and got[4] == "deep"
+    assert len(got[3]) == 250_000 - 1
+    assert wrapper.main_text(small([], PAGES)).collect() == []
+
+
+def test_wrappers_may_be_joined_by_shuffle(small):
+    rows = [page(i, f"<article><p>Text {i}</p></article>") for i in range(6)]
+    got = lines(wrapper.main_text(small(rows, PAGES), max_broadcast=0))
+    assert got == {i: f"Text {i}" for i in range(6)}
+
+
+def test_templates_do_not_depend_on_the_tasks(spark, small):
+    rows = [page(i, f"<div class=a>x</div><div class=b{'' if i % 3 else ' id'}>y {i}</div>")
+            for i in range(40)]
+    one = wrapper.host_templates(small(rows, PAGES).coalesce(1).withColumn("host", F.lit("h")))
+    many = wrapper.host_templates(small(rows, PAGES).repartition(13).withColumn(
+        "host", F.lit("h")))
+
+    def counts(df):
+        import json
+
+        (row,) = df.collect()
+        return sorted((k[0], k[1], k[3]) for k in json.loads(row.template)[5])
+
+    assert counts(one) == counts(many)

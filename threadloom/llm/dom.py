@@ -1,6 +1,7 @@
 """Small reader of markup: a page as a tree of block elements and its text blocks in page order.
 
-Used by the wrapper only. Inline elements are transparent. Runs of like siblings are one node, so a
+Used by the wrapper only. Inline elements are transparent. Like siblings that hold text, such as
+paragraphs or list items, are one node, as are all further ones of many like containers, so a
 page's tree has about as many nodes as its layout has parts, however long its text is.
 """
 
@@ -10,8 +11,6 @@ import html
 import re
 
 # Element names of the HTML standard by how they behave here.
-VOID = frozenset(
-    "area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math".split())
 BLOCK = frozenset(
     "html head body address article aside blockquote button caption center dd details dialog dir "
@@ -26,13 +25,17 @@ ENDS = {
     "body": {"head"},
 }
 HOLDS = frozenset("ul ol menu dir dl table select div section article body".split())
+CONTAINERS = frozenset("div section article aside main ul ol table form".split())
 NO_P = BLOCK - {"html", "head", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption",
                 "option", "optgroup", "legend", "button"}
+# Like containers side by side that are nodes of their own, children after which all like ones are
+# one node, and open elements after which further ones add to the last.
+LIKE, WIDE, DEEP = 6, 64, 80
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+|[^>]*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 DIGITS = re.compile(r"\d+")
 
 
@@ -126,15 +129,28 @@ class Page:
         if name == "hr":
             return
         parent = self.open[-1]
-        kids, wanted = parent[1].kids, label(name, attributes)
-        for i in range(max(parent[2], 0), len(kids)):
-            if kids[i].label == wanted:
-                parent[2] = i
-                break
+        if len(self.open) > DEEP:
+            self.open.append([name, parent[1], parent[2]])
+            return
+        parent[2] = self._child(parent[1].kids, parent[2], label(name, attributes), name)
+        self.open.append([name, parent[1].kids[parent[2]], -1])
+
+    @staticmethod
+    def _child(kids: list[Node], last: int, wanted: str, name: str) -> int:
+        """Place of the child that an element belongs to; a new one if none fits."""
+        like = [i for i, k in enumerate(kids) if k.label == wanted]
+        if name in CONTAINERS:
+            ahead = [i for i in like if i > last]
+            if not ahead and (len(like) >= LIKE or (like and len(kids) >= WIDE)):
+                return like[-1]
         else:
-            parent[2] += 1
-            kids.insert(parent[2], Node(wanted))
-        self.open.append([name, kids[parent[2]], -1])
+            ahead = [i for i in like if i >= last]
+            if not ahead and like and len(kids) >= WIDE:
+                return like[-1]
+        if ahead:
+            return ahead[0]
+        kids.insert(last + 1, Node(wanted))
+        return last + 1
 
     def _close(self, name: str) -> None:
         if name == "a":
@@ -143,6 +159,8 @@ class Page:
             self._block()
             self.links = 0
             self._pop(name)
+        elif name == "p":  # stands for an empty paragraph
+            self._block()
 
     def _pop(self, name: str) -> None:
         while self.open.pop()[0] != name:

@@ -58,12 +58,15 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 def gram_counts(words: DataFrame) -> DataFrame:
     """Counts of n-grams of 1 to MAX_N letters, the word's ends marked by a blank."""
-    marked = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
-    grams = F.flatten(F.transform(
-        F.lit(list(range(1, MAX_N + 1))),
-        lambda size: F.when(F.length(marked) >= size, F.transform(
-            F.sequence(F.lit(1), F.length(marked) - size + 1),
-            lambda i: marked.substr(i, size))).otherwise(F.array().cast("array<string>"))))
+    letters = F.filter(F.split("word", ""), lambda c: c != "")
+    blank = F.array(F.lit(" "))
+    # the array is bound once, so a long word is read once and not for each of its n-grams
+    grams = F.flatten(F.get(F.transform(
+        F.array(F.concat(blank, letters, blank)), lambda marked: F.transform(
+            F.lit(list(range(1, MAX_N + 1))), lambda size: F.transform(
+                F.filter(F.sequence(F.lit(1), F.size(marked)),
+                         lambda i: i + size <= F.size(marked) + 1),
+                lambda i: F.array_join(F.slice(marked, i, size), "")))), F.lit(0)))
     return words.select("lang", "n", F.explode(grams).alias("gram")).where("gram <> ' '").groupBy(
         "lang", F.length("gram").alias("size"), "gram").agg(F.sum("n").alias("n"))
 

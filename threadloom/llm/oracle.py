@@ -65,9 +65,9 @@ edges AS (SELECT bin, coalesce(sum(a) OVER below, 0) AS ab, coalesce(sum(b) OVER
         sum(a) OVER () AS aa, sum(b) OVER () AS ba FROM bins
         WINDOW below AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 edge AS (SELECT coalesce((SELECT bin / 64.0 FROM edges WHERE aa > 0 AND ba > 0
-        ORDER BY bb * aa - ab * ba DESC, abs(bin), bin LIMIT 1), 0) AS at)
+        ORDER BY bb * aa - ab * ba DESC, abs(bin), bin LIMIT 1), 0) AS least)
 SELECT page_id, host, path, rule, CASE WHEN v IS NOT NULL THEN v
-        WHEN coalesce(score, 0) >= at THEN 'allow' ELSE 'block' END AS verdict
+        WHEN coalesce(score, 0) >= least THEN 'allow' ELSE 'block' END AS verdict
 FROM pages JOIN k ON k.url = coalesce(pages.url, '')
 LEFT JOIN scores ON scores.url = k.url JOIN edge ON true
 """
@@ -90,8 +90,8 @@ found AS (SELECT doc_id, i, windows.n, item_id
         FROM (SELECT doc_id, i, n, array_to_string(next[1:n], ' ') AS s
               FROM places JOIN (SELECT DISTINCT n FROM windows) ON len(next) >= n) p
         JOIN windows ON windows.n = p.n AND windows.s = p.s),
-hits AS (SELECT doc_id, count(DISTINCT at) AS n_hit FROM (
-        SELECT doc_id, unnest(range(i, i + n)) AS at FROM found) GROUP BY 1),
+hits AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (
+        SELECT doc_id, unnest(range(i, i + n)) AS place FROM found) GROUP BY 1),
 named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (
         SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY 1)
 SELECT docs.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,

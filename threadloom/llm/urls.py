@@ -60,11 +60,12 @@ def rule_of(rules=RULES) -> Column:
 
 def grams(url: Column) -> Column:
     """Per character: it and the two before it, two blanks before the first."""
-    clean = F.regexp_replace(url, "[^!-~]", "~")
-    padded = F.concat(F.lit("  "), clean)
-    return F.when(F.length(clean) > 0, F.transform(
-        F.sequence(F.lit(1), F.length(clean)), lambda i: padded.substr(i, F.lit(3)))
-    ).otherwise(F.array().cast("array<string>"))
+    symbols = F.filter(F.split(F.regexp_replace(url, "[^!-~]", "~"), ""), lambda c: c != "")
+    # the array is bound once, so a long text is read once and not for each of its characters
+    return F.get(F.transform(F.array(symbols), lambda chars: F.transform(
+        chars, lambda c, i: F.concat(
+            F.coalesce(F.get(chars, i - 2), F.lit(" ")),
+            F.coalesce(F.get(chars, i - 1), F.lit(" ")), c))), F.lit(0))
 
 
 def _sums(df: DataFrame, key: Column, **extra: Column) -> DataFrame:

@@ -29,6 +29,9 @@ LINK_SHARE = 0.6
 SALTS = 16
 # Templates a task holds before it passes them on, and bytes of wrappers that may be broadcast.
 HELD_HOSTS, MAX_BROADCAST_BYTES = 5_000, 64 << 20
+# Children of a template's node; of more, those on the most pages are kept. What a page has beside
+# them is judged by its names alone.
+MAX_KIDS = 64
 # Element names, and words of classes, ids and roles, of parts that are no content.
 OUT_NAMES = frozenset(
     "head nav header footer aside form button select menu dialog search fieldset option".split())
@@ -113,6 +116,9 @@ def merge(a: list, b: list) -> list:
     kids = [
         a[5][i] if j is None else b[5][j] if i is None else merge(a[5][i], b[5][j])
         for i, j in align(a[5], b[5])]
+    if len(kids) > MAX_KIDS:
+        least = sorted((k[1] for k in kids), reverse=True)[MAX_KIDS // 2]
+        kids = [k for k in kids if k[1] > least] or kids[:MAX_KIDS // 2]
     return [a[0], a[1] + b[1], digest, a[3] + b[3], a[4] + b[4], kids]
 
 
@@ -127,15 +133,17 @@ def wrapper_of(template: list, min_pages: int = MIN_PAGES) -> list:
         menu = not heading and node[3] > 0 and node[4] >= LINK_SHARE * node[3]
         mine = [node[0], 0 if out or menu else 2 if inner else 1, None]
         if mine[1] and node[2] is not None:
-            slots.append((mine, node[2] != "" and node[1] >= min_pages))
+            same = node[2] != "" and node[1] >= min_pages
+            slots.append((mine, same, heading and inner))
         mine[2] = [role(k, out, inner) for k in node[5]]
         return mine
 
     wrapper = role(template, False, False)
-    # Where nothing varies, the pages are copies, and what is constant may be their content.
-    if any(not constant for _, constant in slots):
-        for mine, constant in slots:
-            if constant:
+    # Where nothing varies, the pages are copies, and what is constant may be their content. An
+    # article keeps its title in any case.
+    if not all(same for _, same, _ in slots):
+        for mine, same, title in slots:
+            if same and not title:
                 mine[1] = 0
     return wrapper
 
