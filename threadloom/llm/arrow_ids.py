@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from threadloom.llm.memory import Memory
 from threadloom.llm.shared import cut
 
 SEQUENCE = 2048
@@ -29,8 +30,8 @@ ROWS_PER_BATCH = 256
 END_ID = 1
 MANIFEST_SCHEMA = "part int, file string, n_docs bigint, n_tokens bigint"
 DOC_SCHEMA = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
-# Words whose ids a worker remembers, and the longest such word in bytes: about 100 MB.
-CACHE_WORDS, CACHE_BYTES = 400_000, 64
+# Words whose ids a worker remembers, twice over, and the longest such word in bytes: about 250 MB.
+CACHE_WORDS, CACHE_BYTES = 700_000, 32
 
 
 class WordEncoder:
@@ -45,25 +46,16 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
+        self.known = Memory(self._encode_words, CACHE_WORDS, CACHE_BYTES)
+
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(
+            [w.decode() for w in words], add_special_tokens=False)
+        return [np.array(c.ids, self.dtype).tobytes() for c in coded]
 
     def encode(self, text: str | None) -> np.ndarray:
         words = (text or "").encode().split()
-        known = self.known
-        new = list(set(words).difference(known))
-        long = {}
-        if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(set(words))
-            coded = self.tokenizer.encode_batch_fast(
-                [w.decode() for w in new], add_special_tokens=False)
-            for word, ids in zip(new, coded, strict=True):
-                (known if len(word) <= CACHE_BYTES else long)[word] = np.array(
-                    ids.ids, self.dtype).tobytes()
-        if long:
-            return np.frombuffer(
-                b"".join(long[w] if w in long else known[w] for w in words), self.dtype)
+        known = self.known.of(set(words))
         return np.frombuffer(b"".join(map(known.__getitem__, words)), self.dtype)
 
 
@@ -119,8 +111,9 @@ class SequenceWriter:
             values = np.concatenate([values, np.zeros(pad, self.dtype)])
             mask[full - pad:] = False
         begins = [(at - self.written) // self.length for at, _, _ in self.docs]
-        # a document may begin at the very end of what is held: it belongs to the next batch
-        here = len(begins) if last else int(np.searchsorted(begins, rows))
+        if last:  # an empty document may begin at the very end
+            begins = [min(row, rows - 1) for row in begins]
+        here = int(np.searchsorted(begins, rows))
         offsets = pa.array(np.searchsorted(begins[:here], np.arange(rows + 1)), pa.int32())
 
         def listed(i: int) -> pa.Array:
@@ -135,8 +128,8 @@ class SequenceWriter:
         self.written += full
 
     def close(self) -> None:
-        if self.held:
-            self.flush(-(-self.held // self.length), last=True)
+        if self.docs or self.held:
+            self.flush(max(1, -(-self.held // self.length)), last=True)
         self.out.close()
 
 

@@ -18,10 +18,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from threadloom.llm.memory import Memory
+
 SPACE = "▁"  # fixed value: the library's visible blank
 # Piece kinds of the model format.
 UNKNOWN, CONTROL, USER_DEFINED, BYTE = 2, 3, 4, 6
-CACHE_CHUNKS, CACHE_CHARS = 400_000, 64
+# Chunks whose ids a worker remembers, twice over, and the longest such chunk: about 200 MB.
+CACHE_CHUNKS, CACHE_CHARS = 500_000, 32
 DIGEST_SCHEMA = (
     "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, span_bytes bigint")
 PIECE_SCHEMA = "doc_id bigint, ids array<int>, begins array<int>, ends array<int>"
@@ -188,7 +191,7 @@ class PieceCodec:
         symbols = tuple(t for t, k in zip(texts, kinds, strict=True) if k == USER_DEFINED)
         self.rules = Normaliser.of(spec, symbols)
         self.ends = self.model.bos_id(), self.model.eos_id()
-        self.known: dict[str, bytes] = {}
+        self.known = Memory(self._encode_chunks, CACHE_CHUNKS, CACHE_CHARS)
         self.blank = self.model.piece_to_id(SPACE)
         # Chunks can be encoded apart if no piece goes on after its blanks with another blank,
         # nothing is unknown, and the library sees a chunk as it sees it within a text.
@@ -199,29 +202,17 @@ class PieceCodec:
             and dict(fields(trainer)).get(24, 0) == 0 and self.blank != self.model.unk_id()
             and not any(mark in re.sub(b"^(" + mark + b")+", b"", t) for t in texts))
 
+    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        coded = self.model.encode([c[1:].replace(SPACE, " ") for c in chunks], num_threads=1)
+        # the library gives nothing for an empty text
+        return [np.array(ids if chunk != SPACE else [self.blank], "<u4").tobytes()
+                for chunk, ids in zip(chunks, coded, strict=True)]
+
     def ids(self, normal: str) -> np.ndarray:
         """Ids of a normalised text, whose blanks are visible, each chunk worked out once."""
         chunks = re.findall(f"{SPACE}+[^{SPACE}]*", normal)
-        known, long = self.known, {}
-        new = set(chunks).difference(known)
-        if new:
-            if len(known) + len(new) > CACHE_CHUNKS:
-                known.clear()
-                new = set(chunks)
-            if SPACE in new:  # the library gives nothing for an empty text
-                known[SPACE] = np.array([self.blank], "<u4").tobytes()
-                new.discard(SPACE)
-            order = list(new)
-            coded = self.model.encode(
-                [c[1:].replace(SPACE, " ") for c in order], num_threads=1)
-            for chunk, ids in zip(order, coded, strict=True):
-                (known if len(chunk) <= CACHE_CHARS else long)[chunk] = np.array(
-                    ids, "<u4").tobytes()
-        if long:
-            parts = [long[c] if c in long else known[c] for c in chunks]
-        else:
-            parts = map(known.__getitem__, chunks)
-        return np.frombuffer(b"".join(parts), "<u4")
+        known = self.known.of(set(chunks))
+        return np.frombuffer(b"".join(map(known.__getitem__, chunks)), "<u4")
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids with begin and end id; first byte and byte after the last of each, in the text.
