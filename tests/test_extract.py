@@ -4,8 +4,10 @@ from html.parser import HTMLParser
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from threadloom.functions.html import ThreadReader, listing_elements
+from threadloom.functions.html import ThreadReader
+from threadloom.functions.markup import unescape
 from threadloom.operators import extract
 
 HEADING = (
@@ -112,6 +114,29 @@ def test_listing(spark):
         ("b", 0, 2, None, None, None, None)]
 
 
+def test_listing_is_read_without_python(spark):
+    pages = spark.createDataFrame([("b", 0, LISTING)], "board string, page_no bigint, html string")
+    plan = extract.extract_listing(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_references_are_decoded(spark):
+    texts = ["a", "&amp;&lt;&gt;&quot;&eacute;", "&#233;&#xE9;&#x1F600;", "&nope; & &", "&amp;amp;",
+             "&#0;&#xD800;&#x110000;&#99999999999;", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.u for r in df.select("i", unescape(F.col("t")).alias("u")).orderBy("i").collect()]
+    assert got == ["a", "&<>\"é", "éé\U0001f600", "&nope; & &", "&amp;", "\ufffd" * 4, "", None]
+
+
+def test_broken_markup_does_not_exhaust_the_stack(spark):
+    texts = ["<div " + "=" * 50_000, "<div " + "a=b " * 5_000 + ">", "<" * 20_000,
+             "<div data-fullname='" + "x" * 100_000 + "'>", "<!--" * 5_000]
+    pages = spark.createDataFrame([("b", i, t) for i, t in enumerate(texts)],
+                                  "board string, page_no bigint, html string")
+    rows = extract.extract_listing(pages).collect()
+    assert [(r.page_no, len(r.fullname)) for r in rows] == [(3, 100_000)]
+
+
 def test_only_needed_columns_reach_python(spark, tmp_path):
     path = str(tmp_path / "pages")
     spark.createDataFrame([("u", "<p>", "x")], "url string, html string, junk string").write.parquet(path)
@@ -209,13 +234,19 @@ markup = st.lists(st.one_of(
 ), max_size=8).map("".join)
 
 
-@given(markup)
-@settings(max_examples=500, deadline=None)
-def test_tags_are_read_as_the_standard_parser_does(text):
-    standard = StandardReader()
-    standard.feed(text)
-    standard.close()
-    assert listing_elements(text) == standard.found
+@given(st.lists(markup, min_size=30, max_size=60))
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+def test_tags_are_read_as_the_standard_parser_does(spark, texts):
+    pages = spark.createDataFrame([("b", i, t) for i, t in enumerate(texts)],
+                                  "board string, page_no bigint, html string")
+    rows = {r.page_no: r.rows for r in extract.extract_listing_pages(pages).collect()}
+    for i, text in enumerate(texts):
+        standard = StandardReader()
+        standard.feed(text)
+        standard.close()
+        names = ("data-fullname", "data-timestamp", "data-promoted")
+        assert [(e.fullname, e.timestamp, e.promoted) for e in rows[i]] == [
+            tuple(found.get(n) for n in names) for found in standard.found], text
 
 
 @given(st.text(alphabet="<>/!-=&\"' adivmthng[]?;#x0", max_size=60))
@@ -223,4 +254,3 @@ def test_tags_are_read_as_the_standard_parser_does(text):
 def test_any_text_can_be_read(text):
     ThreadReader().read(text)
     ThreadReader().read(page() + text)
-    assert isinstance(extract._listing_elements(text + "data-fullname"), list)

@@ -51,10 +51,16 @@ def test_lookup_join_on_both_sides_of_its_bound(case, big, lookup):
     broadcast = joins.lookup_join(big, lookup, "k", how)
     assert "BroadcastHashJoin" in broadcast._jdf.queryExecution().executedPlan().toString()
     assert answer(broadcast) == want
-    shuffled = joins.lookup_join(big, lookup, "k", how, max_rows=10)
+    shuffled = joins.lookup_join(big, lookup, "k", how, max_bytes=10)
     assert answer(shuffled) == want
 
 
+def test_lookups_are_measured_by_their_texts(spark):
+    rows = spark.range(10).select("id", F.repeat(F.lit("é"), 1000).alias("t"))
+    assert 20_000 <= joins.measured_bytes(rows) <= 22_000
+    assert joins.measured_bytes(rows.limit(0)) == 0
+
+
 def test_adaptive_execution_splits_the_hot_key(spark, conf):
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",

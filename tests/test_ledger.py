@@ -196,6 +196,24 @@ def test_failed_run_keeps_the_date_and_raises(small, store):
     assert status == {1: "success", 2: "fail"}
 
 
+def test_failure_to_attach_is_recorded(small, store):
+    twice = store.table("JobType").withColumn("JobTypeName", F.lit("manual"))
+    rows = [tuple(r) for r in twice.collect()]
+    store.spark.createDataFrame(rows, twice.schema).write.mode("overwrite").saveAsTable(
+        store._name("JobType"))
+    with pytest.raises(Exception):
+        run_logged(store, names(small, "a"), "topic", lambda runs: None)
+    assert {j.JobStatus for j in store.jobs().collect()} == {"fail"}
+    assert {s.LastCheckStatus for s in store.schedules().collect()} == {"failed"}
+
+
+def test_unknown_job_statuses_are_counted(small):
+    events = small([(1, "started"), (1, "lost"), (2, None), (3, "lost")],
+                   "SubredditJobId bigint, JobStatus string")
+    assert {(r.JobStatus, r.n) for r in ledger.unknown_statuses(events).collect()} == {
+        ("lost", 2), (None, 1)}
+
+
 def test_watermark_start(small, store):
     run_logged(store, names(small, "a"), "topic", lambda runs: None, watermark="start")
     job, schedule = store.jobs().first(), store.schedules().first()

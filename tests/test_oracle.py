@@ -30,6 +30,29 @@ def test_query(spark, con, name):
     assert sum(got[1].values()) > 0
 
 
+@pytest.fixture(scope="module")
+def long_threads(spark, tmp_path_factory):
+    """Conversations of 1, 2, 450 and 12,001 turns."""
+    folder = str(tmp_path_factory.mktemp("long"))
+    turns = spark.createDataFrame(
+        [(i, n) for i, n in enumerate([1, 2, 450, 12_001, 401])], "conv_id bigint, n int")
+    rows = turns.selectExpr("conv_id", "explode(sequence(0, n - 1)) as turn").selectExpr(
+        "conv_id", "turn", "if(turn % 2 = 0, 'user', 'assistant') as role",
+        "concat(' turn <', turn, '> & more ') as text")
+    rows.coalesce(1).write.parquet(f"{folder}/out")
+    (part,) = (p for p in os.listdir(f"{folder}/out") if p.endswith(".parquet"))
+    os.link(f"{folder}/out/{part}", f"{folder}/conversations.parquet")
+    return folder
+
+
+@pytest.mark.parametrize(
+    "name", ["thread_related_ids", "thread_messages", "thread_extract", "publish_threads"])
+def test_long_threads_are_whole(spark, long_threads, name):
+    got = spark_bag(driver.queries()[name](spark, long_threads))
+    want = duck_bag(duck(long_threads), driver.oracle_sql()[name])
+    assert got[0] == want[0] and got[1] == want[1] and sum(got[1].values()) > 3
+
+
 def test_entry(spark):
     df = driver.entry(spark)
     assert df.count() > 0

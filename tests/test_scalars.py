@@ -93,10 +93,11 @@ def test_times(spark):
         fx.iso_to_millis(F.lit("2023-11-14T22:13:20+00:00")),
         fx.iso_to_millis(F.lit("2023-11-15T02:13:20.500+04:00")),
         fx.iso_to_millis(F.lit("some day")),
+        *[fx.iso_to_millis(F.lit(t)) for t in ("12:30", "T12:30", "2024", "2024-01", "")],
         F.unix_millis(fx.created_ts(F.lit("1700000000001"))),
         fx.created_ts(F.lit("soon")),
         fx.parsed_time(F.lit("2024-01-31 01:02:03").cast("timestamp")))
-    assert got == (NOW, NOW + 500, None, NOW + 1, None, "2024-01-31 01:02:03")
+    assert got == (NOW, NOW + 500, *[None] * 6, NOW + 1, None, "2024-01-31 01:02:03")
 
 
 def test_seconds_between(spark):

@@ -135,14 +135,28 @@ def test_batch_and_stream_agree(spark, options, topic, tmp_path):
 
 def test_job_arguments(tmp_path):
     args = stream_messages.parse_args(
-        ["-kt", "t", "-ks", "b:1", "-mu", "mongodb://h", "-md", "d", "-cp", "/c", "-ccp"])
+        ["-kt", "t", "-ks", "b:1", "-mu", "mongodb://h", "-md", "d", "-cp", "/c", "-fcp"])
     options = stream_messages.to_options(args)
     assert (options.source_format, options.starting_offsets) == ("kafka", "latest")
     assert options.sink_options == {
         "spark.mongodb.connection.uri": "mongodb://h", "spark.mongodb.database": "d"}
     assert router.checkpoint_path(options).startswith("/c/")
-    with pytest.raises(SystemExit):
-        stream_messages.parse_args(["-kt", "t", "-cp", "/c"])
+    for argv in (["-kt", "t", "-ks", "b:1", "-cp", "/c"], ["-kt", "t", "-cp", "/c", "-od", "/o"]):
+        with pytest.raises(SystemExit):
+            stream_messages.parse_args(argv)
+
+
+def test_unrouted_messages_are_kept_with_their_status(spark, options, topic, tmp_path, capfd):
+    from collections import Counter
+
+    run(spark, options(unrouted_table="Unrouted", print_schema=True))
+    assert rows(spark, tmp_path) == (POSTS_ROUTED, COMMENTS_ROUTED)
+    left = spark.read.parquet(f"{tmp_path}/out/Unrouted").collect()
+    total = spark.read.text(str(topic)).count()
+    assert len(left) + POSTS_ROUTED + COMMENTS_ROUTED == total
+    assert not {r.status for r in left} & {"ok", "partial"}
+    assert Counter(r.status for r in left)["malformed"] > 0
+    assert "RelatedCommentId: map" in capfd.readouterr().out
 
 
 def test_job_to_files(spark, topic, tmp_path):

@@ -1,3 +1,5 @@
+import pytest
+
 from threadloom.operators import threads
 
 RECORD = "Type string, Id string, ParentPostId string, ParentCommentId string, pos int"
@@ -10,31 +12,42 @@ def posts_and_comments(small, sizes):
 
 
 def related(df):
-    return {(r.Id, r.chunk): r.RelatedCommentId["id"] for r in df.collect()}
+    rows = df.collect()
+    got = {r.Id: r.RelatedCommentId["id"] for r in rows}
+    assert len(got) == len(rows)
+    return got
 
 
 def test_related_ids_in_document_order(small):
     posts, comments = posts_and_comments(small, [3, 0, 12])
     got = related(threads.attach_related_ids(posts, comments))
     assert got == {
-        ("p0", 0): ["c0_1", "c0_2", "c0_3"],
-        ("p1", 0): [],
-        ("p2", 0): [f"c2_{n}" for n in range(1, 13)],
+        "p0": ["c0_1", "c0_2", "c0_3"],
+        "p1": [],
+        "p2": [f"c2_{n}" for n in range(1, 13)],
     }
 
 
-def test_a_giant_thread_goes_on_in_further_rows(small):
-    posts, comments = posts_and_comments(small, [3, 4, 11])
-    got = related(threads.attach_related_ids(posts, comments, chunk=4))
-    assert {key: len(ids) for key, ids in got.items()} == {
-        ("p0", 0): 3, ("p1", 0): 4, ("p2", 0): 4, ("p2", 1): 4, ("p2", 2): 3}
-    assert got["p2", 0] + got["p2", 1] + got["p2", 2] == [f"c2_{n}" for n in range(1, 12)]
+@pytest.mark.parametrize("block", [1, 4, threads.BLOCK])
+def test_a_giant_thread_is_one_row(small, block):
+    posts, comments = posts_and_comments(small, [3, 4, 450])
+    got = related(threads.attach_related_ids(posts, comments, block))
+    assert got["p2"] == [f"c2_{n}" for n in range(1, 451)]
+    assert threads.related_ids(comments).count() == 457
+
+
+def test_comments_without_a_place_come_last(small):
+    comments = small(
+        [("p", None, "x"), ("p", 20, "b"), ("p", None, "w"), ("p", 1, "a"), ("p", 1, "c")],
+        "ParentPostId string, pos int, Id string")
+    got = related(threads.attach_related_ids(small([("p",)], "Id string"), comments, 10))
+    assert got == {"p": ["a", "c", "b", "w", "x"]}
 
 
 def test_comments_of_unknown_posts_are_left_out(small):
     posts, comments = posts_and_comments(small, [2, 9])
-    got = related(threads.attach_related_ids(posts.filter("Id = 'p0'"), comments, chunk=4))
-    assert list(got) == [("p0", 0)]
+    got = related(threads.attach_related_ids(posts.filter("Id = 'p0'"), comments, 4))
+    assert list(got) == ["p0"]
 
 
 def test_union_fills_missing_keys(small):

@@ -10,12 +10,13 @@ import re
 from html import unescape
 
 # Elements that never have content.
-VOID_TAGS = frozenset(
-    "area base br col embed hr img input keygen link menuitem meta param source track wbr "
-    "basefont bgsound command frame image isindex nextid spacer".split()
-)
+VOID_TAGS = {
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link", "menuitem",
+    "meta", "param", "source", "track", "wbr", "basefont", "bgsound", "command", "frame",
+    "image", "isindex", "nextid", "spacer",
+}
 # Elements whose text is not part of the visible text.
-HIDDEN_TAGS = frozenset("rp rt script style template".split())
+HIDDEN_TAGS = {"rp", "rt", "script", "style", "template"}
 
 # A quote opens a value only after `=`; atomic parts keep the match linear on broken markup.
 _ATTRIBUTES = r"""(?>[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+"""
@@ -29,13 +30,6 @@ _TOKEN = re.compile(
     |[!?/][^>]*>)""",
     re.DOTALL | re.VERBOSE,
 )
-# All tags are matched, so that none is found inside another's value, but only divs captured.
-_DIV = re.compile(
-    rf"""<(?:{_HIDDEN}
-    |[dD][iI][vV](?=[\s/>])(?P<attributes>{_ATTRIBUTES})>
-    |[a-zA-Z]{_ATTRIBUTES}>)""",
-    re.DOTALL | re.VERBOSE,
-)
 _ATTRIBUTE = re.compile(
     r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 _BARE_VALUE_WITH_SLASH = re.compile(r"""=\s*[^\s"'][^\s]*/$""")
@@ -50,18 +44,6 @@ def _attributes(text: str) -> list[tuple[str, str]]:
     return [(name.lower(), double or single or bare) for name, double, single, bare in found]
 
 
-def listing_elements(page: str) -> list[dict[str, str | None]]:
-    """Attributes of every div that has `data-fullname`, in document order; empty ones are None."""
-    elements = []
-    for _, attributes in _DIV.findall(page):
-        if attributes and "data-fullname" in attributes.lower():
-            # Last to first, because a browser keeps the first of two.
-            found = {name: value or None for name, value in reversed(_attributes(attributes))}
-            if "data-fullname" in found:
-                elements.append(found)
-    return elements
-
-
 class _Element:
     """An open element that matters: a thing, a title, a comment, a body or hidden text."""
 
@@ -164,7 +146,9 @@ class ThreadReader:
             "values": values,
             "parent": parent["values"].get("data-fullname") if parent else None,
         }
-        self.comments.append(element.comment)
+        # An ancestor repeated on a later part of its thread's pages is there for its replies only.
+        if "data-context" not in values:
+            self.comments.append(element.comment)
 
     def _start_body(self, tag: str, element: _Element) -> None:
         texts: list[str] = []

@@ -76,8 +76,9 @@ def created_ts(created_ms: Column | str) -> Column:
 
 
 def iso_to_millis(iso: Column | str) -> Column:
-    """ISO-8601 text as epoch milliseconds; null if not a time."""
-    return F.unix_millis(F.try_to_timestamp(col(iso)))
+    """ISO-8601 text as epoch milliseconds; null unless it begins with a whole date."""
+    whole = F.regexp_extract(col(iso), r"^\s*\d{4}-\d{2}-\d{2}(?!\d).*", 0)
+    return F.unix_millis(F.try_to_timestamp(F.nullif(whole, F.lit(""))))
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:

@@ -7,11 +7,13 @@ the listing pages.
 from __future__ import annotations
 
 import argparse
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions.scalars import RANKING_PATHS, board_path
+from threadloom.operators.extract import extract_listing
 from threadloom.operators.ledger import resolve_mode
 from threadloom.plans.publish import publish_messages
 from threadloom.plans.runs import Ledger, run_logged
@@ -35,9 +37,17 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
                         help="board names are full paths already")
     parser.add_argument("-et", "--execution_type", default="manual")
     parser.add_argument("-kt", "--kafka_topic", required=True, help="topic, or folder for text")
-    parser.add_argument("-ks", "--kafka_server", default="broker:29092")
+    parser.add_argument("-ks", "--kafka_server", help="required for kafka")
     parser.add_argument("-kf", "--sink_format", default="kafka", choices=["kafka", "text"])
-    return parser.parse_args(argv)
+    parser.add_argument("-ld", "--listing_rows", help="folder to store the extracted listing in, "
+                        "so that its pages are read once; a run makes a new folder below it")
+    parser.add_argument("-wm", "--watermark", default="end", choices=["start", "end"],
+                        help="date a successful run leaves behind; with start, posts made during "
+                        "the run are left to the next one")
+    args = parser.parse_args(argv)
+    if args.sink_format == "kafka" and not args.kafka_server:
+        parser.error("--kafka_server is required for kafka")
+    return args
 
 
 def run_plan(runs: DataFrame, args: argparse.Namespace) -> DataFrame:
@@ -66,12 +76,17 @@ def main(argv: list[str] | None = None) -> None:
 
     def work(runs: DataFrame) -> None:
         now = spark.sql("SELECT unix_millis(current_timestamp())").first()[0]
-        messages = publish_messages(listing, threads, run_plan(runs, args), now, args.base_url)
+        rows = listing
+        if args.listing_rows:
+            folder = f"{args.listing_rows}/{uuid.uuid4().hex}"
+            extract_listing(listing).write.parquet(folder)
+            rows = spark.read.parquet(folder)
+        messages = publish_messages(rows, threads, run_plan(runs, args), now, args.base_url)
         options = {"kafka.bootstrap.servers": args.kafka_server} if args.sink_format == "kafka" else {}
         push_messages(messages, args.kafka_topic, args.sink_format, **options)
 
     names = listing.select(F.col("board").alias("SubredditName"))
-    run_logged(store, names, args.kafka_topic, work, args.execution_type)
+    run_logged(store, names, args.kafka_topic, work, args.execution_type, args.watermark)
 
 
 if __name__ == "__main__":

@@ -18,7 +18,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("-n", "--name", default="threadloom", help="application name")
     parser.add_argument("-kt", "--kafka_topic", required=True, help="topic, or folder of text files")
-    parser.add_argument("-ks", "--kafka_server", default="broker:29092")
+    parser.add_argument("-ks", "--kafka_server", help="required for kafka")
     parser.add_argument("-sf", "--source_format", default="kafka", choices=["kafka", "text"])
     parser.add_argument("-so", "--starting_offsets", default="latest")
     parser.add_argument("-mx", "--max_per_trigger", type=int, help="offsets or files per batch")
@@ -27,13 +27,18 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("-od", "--output_dir", help="write retry-safe files below this folder")
     parser.add_argument("-of", "--output_format", default="parquet")
     parser.add_argument("-cp", "--checkpoint_path", required=True)
-    parser.add_argument("-ccp", "--clear_checkpoint_path", action="store_true",
+    parser.add_argument("-fcp", "--fresh_checkpoint", action="store_true",
                         help="start from a fresh checkpoint below the path; nothing is deleted")
     parser.add_argument("-aa", "--author_alias", action="store_true",
                         help="take a comment's author from its `Author` key")
     parser.add_argument("-on", "--once", action="store_true", help="stop when caught up")
     parser.add_argument("-v", "--preview", action="store_true", help="print rows of each batch")
+    parser.add_argument("-ps", "--print_schema", action="store_true", help="print the record schema")
+    parser.add_argument("-ut", "--unrouted_table",
+                        help="table for messages that no table takes, with their status")
     args = parser.parse_args(argv)
+    if args.source_format == "kafka" and not args.kafka_server:
+        parser.error("--kafka_server is required for kafka")
     if bool(args.mongo_url) == bool(args.output_dir):
         parser.error("give either --mongo_url or --output_dir")
     return args
@@ -51,8 +56,10 @@ def to_options(args: argparse.Namespace) -> StreamOptions:
         sink_options=mongo_sink(args.mongo_url, args.mongo_database) if args.mongo_url else {},
         trigger={"availableNow": True} if args.once else {},
         author_alias=args.author_alias,
-        fresh_checkpoint=args.clear_checkpoint_path,
+        fresh_checkpoint=args.fresh_checkpoint,
         preview=args.preview,
+        print_schema=args.print_schema,
+        unrouted_table=args.unrouted_table,
     )
 
 

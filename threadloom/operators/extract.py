@@ -1,7 +1,7 @@
 """Page extraction: tables of fetched pages to listing rows and thread records.
 
-The pages table keeps its own partitioning; each task reads its pages in Arrow batches, which
-Spark bounds in bytes, and gives back rows. What can be a column expression is one.
+The pages table keeps its own partitioning. Listing pages are read by column expressions. Thread
+pages need their nesting, so each task reads them in Arrow batches, which Spark bounds in bytes.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (
@@ -23,7 +23,8 @@ from pyspark.sql.types import (
 )
 
 from threadloom.functions import html
-from threadloom.functions.html import ThreadReader, listing_elements
+from threadloom.functions.html import ThreadReader
+from threadloom.functions.markup import attributes_of, tags_with
 from threadloom.functions.scalars import iso_to_millis
 from threadloom.operators.threads import related_map
 
@@ -31,13 +32,6 @@ from threadloom.operators.threads import related_map
 for _module in (html, sys.modules[__name__]):
     cloudpickle.register_pickle_by_value(_module)
 
-_ELEMENT = StructType([
-    StructField("pos", IntegerType()),
-    StructField("fullname", StringType()),
-    StructField("timestamp", StringType()),
-    StructField("permalink", StringType()),
-    StructField("promoted", StringType()),
-])
 _THREAD = StructType([
     StructField("pos", IntegerType()),
     StructField("Type", StringType()),
@@ -81,22 +75,22 @@ def _per_page(
     return pages.select(*keys, "html").mapInArrow(run, out)
 
 
-def _listing_elements(page: str) -> list[tuple]:
-    """Values of _ELEMENT for each element of a listing page."""
-    if "data-fullname" not in page:
-        return []
-    return [
-        (pos, get("data-fullname"), get("data-timestamp"), get("data-permalink"),
-         get("data-promoted"))
-        for pos, get in enumerate(found.get for found in listing_elements(page))
-    ]
-
-
 def extract_listing_pages(
     pages: DataFrame, keys: tuple[str, ...] = ("board", "page_no")
 ) -> DataFrame:
-    """One row per listing page: keys, n_elements, cursor and the element array `rows`."""
-    found = _per_page(pages, keys, _ELEMENT, _listing_elements)
+    """One row per listing page: keys, n_elements, cursor and the element array `rows`.
+
+    An element is a div with the attribute `data-fullname`; empty attributes are null.
+    """
+    names = ("fullname", "timestamp", "permalink", "promoted")
+
+    def element(attributes: Column, pos: Column) -> Column:
+        values = attributes_of(attributes, *[f"data-{name}" for name in names])
+        return F.struct(pos.cast("int").alias("pos"), *[
+            value.alias(name) for name, value in zip(names, values, strict=True)])
+
+    found = pages.select(*keys, F.transform(
+        tags_with("div", "data-fullname", F.coalesce("html", F.lit(""))), element).alias("rows"))
     return found.withColumns({
         "n_elements": F.size("rows").cast("bigint"),
         "cursor": F.try_element_at("rows", F.lit(-1))["fullname"],
@@ -156,6 +150,25 @@ def extract_thread(
         "CreatedAt": created, "RelatedCommentId": related}).drop("_time", "_related")
 
 
+def combine_parts(records: DataFrame, thread: tuple[str, ...], part: str) -> DataFrame:
+    """Records of threads whose pages come in several parts: one post for each thread.
+
+    The post has the fields of its first part and the ids of all parts in their order. Comments
+    stay where they are. Posts and comments are two readings of `records`; a job that keeps what it
+    extracted should pass the stored table.
+    """
+    posts = records.filter(F.col("Type") == "Post")
+    of_part = F.struct(part, F.col("RelatedCommentId")["id"].alias("ids"))
+    ids = F.flatten(F.transform(
+        F.array_sort(F.collect_list(of_part)), lambda item: item["ids"]))
+    fields = [c for c in posts.columns if c != "RelatedCommentId" and c not in thread]
+    whole = posts.groupBy(*thread).agg(
+        F.min_by(F.struct(*fields), part).alias("_post"), ids.alias("_ids"))
+    return whole.select(
+        *thread, "_post.*", related_map(F.col("_ids")).alias("RelatedCommentId")
+    ).unionByName(records.filter(F.col("Type") != "Post"))
+
+
 def page_title(pages: DataFrame) -> DataFrame:
     """Pages with their title text as found, null if there is none."""
     title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)

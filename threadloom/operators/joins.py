@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
-
-from threadloom.session import materialize
+from pyspark.sql.types import MapType, StringType
 
 SALTS = 32
-# A lookup side is broadcast only up to this many rows. Its rows are narrow (keys, ids, dates),
-# so this stays in the tens of megabytes.
-MAX_BROADCAST_ROWS = 200_000
+# A lookup side is broadcast only up to this many bytes, as `measured_bytes` counts them.
+MAX_BROADCAST_BYTES = 32 << 20
+# What a value and a row of a hashed table take beside the length of texts.
+_VALUE_BYTES, _ROW_BYTES = 8, 64
 
 
 def splits_skew(spark: SparkSession) -> bool:
@@ -44,23 +43,37 @@ def spread_join(big: DataFrame, unique: DataFrame, on: str, how: str = "inner")
     return salted_join(big, unique, on, how)
 
 
-def sized_join(
-    big: DataFrame, small: DataFrame, on: str, how: str, n_rows: int,
-    max_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join with a side counted to have `n_rows`: broadcast within `max_rows`, else spread."""
-    if n_rows <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    return spread_join(big, small, on, how)
+def measured_bytes(df: DataFrame) -> int:
+    """Size of `df` as a broadcast table: one job that counts its rows and the bytes of its texts.
+
+    Only flat columns are measured; any other type counts as its text.
+    """
+    texts = [
+        F.octet_length(F.col(f.name) if isinstance(f.dataType, StringType) else F.to_json(
+            F.struct(f.name)))
+        for f in df.schema.fields
+        if isinstance(f.dataType, StringType) or f.dataType.typeName() in ("array", "map", "struct")]
+    length = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(0).cast("bigint"))
+    size = df.agg(F.count("*").alias("n"), F.sum(length).alias("bytes")).first()
+    return size["n"] * (_ROW_BYTES + _VALUE_BYTES * len(df.columns)) + (size["bytes"] or 0)
 
 
 def lookup_join(
     big: DataFrame, small: DataFrame, on: str, how: str = "inner",
-    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join `big` with an aggregated lookup that is usually, but not provably, small.
+    """Join `big` with a lookup that is usually, but not provably, small.
 
-    The lookup is computed once and counted; if it is broadcast, `big` is not shuffled.
+    The lookup is measured first. If it is broadcast, `big` is not shuffled; else hot keys are
+    spread. It is worked out again by the query, so it must give the same rows both times.
     """
-    small = materialize(small)
-    return sized_join(big, small, on, how, small.count(), max_rows)
+    return bounded_join(big, small, on, how, measured_bytes(small) <= max_bytes)
+
+
+def bounded_join(
+    big: DataFrame, small: DataFrame, on: str, how: str, is_small: bool
+) -> DataFrame:
+    """As lookup_join, with a lookup whose size is known from what it was made of."""
+    if is_small:
+        return big.join(F.broadcast(small), on, how)
+    return spread_join(big, small, on, how)

@@ -20,7 +20,6 @@ from threadloom.schema import (
     SCHEDULE_RUNNING,
     SCHEDULE_STATUSES,
 )
-from threadloom.session import materialize
 
 _CODE_BITS = 2  # room for a status code below each microsecond
 
@@ -98,7 +97,7 @@ def get_or_create(
     """(name, id, created) for every distinct requested name; names not yet there get new ids."""
     wanted = requested.select(name).filter(F.col(name).isNotNull()).distinct()
     known = existing.groupBy(name).agg(F.max(id_column).cast("bigint").alias(id_column))
-    both = materialize(wanted.join(known, name, "left"))
+    both = wanted.join(known, name, "left")
     found = both.filter(F.col(id_column).isNotNull()).withColumn("created", F.lit(False))
     new = assign_serials(
         both.filter(F.col(id_column).isNull()).select(name), name,
@@ -122,14 +121,11 @@ def get_or_create_board(
     wanted = requested.select("SubredditName").filter(
         F.col("SubredditName").isNotNull()).distinct()
     known = _schedules_by_name(boards, schedules, "left")
-    state = materialize(
-        wanted.join(known, "SubredditName", "left")
-        .withColumns({
-            "created_board": F.col("_any_board").isNull(),
-            "created_schedule": F.col("SubredditScheduleId").isNull(),
-            "SubredditId": F.coalesce("SubredditId", "_any_board"),
-        })
-        .drop("_any_board"))
+    state = wanted.join(known, "SubredditName", "left").withColumns({
+        "created_board": F.col("_any_board").isNull(),
+        "created_schedule": F.col("SubredditScheduleId").isNull(),
+        "SubredditId": F.coalesce("SubredditId", "_any_board"),
+    }).drop("_any_board")
     ready = state.filter(~F.col("created_schedule"))
     new = assign_serials(
         state.filter("created_schedule"), "SubredditName",
@@ -193,7 +189,8 @@ def job_latest(events: DataFrame) -> DataFrame:
     """Current state of every job from its events (SubredditJobId, at, JobStatus).
 
     Time and status are packed into one number, so the latest event is a plain maximum, hashed and
-    combined before the shuffle. At the same microsecond a closing status wins.
+    combined before the shuffle. At the same microsecond a closing status wins. Events of any other
+    status change nothing; unknown_statuses counts them.
     """
     code = F.try_element_at(
         literal_map({word: str(i) for i, word in enumerate(JOB_STATUSES)}), "JobStatus")
@@ -212,6 +209,12 @@ def job_latest(events: DataFrame) -> DataFrame:
     )
 
 
+def unknown_statuses(events: DataFrame) -> DataFrame:
+    """Events per status that job_latest does not know, so that none is ignored without a trace."""
+    return events.filter(~F.coalesce("JobStatus", F.lit("")).isin(*JOB_STATUSES)).groupBy(
+        "JobStatus").agg(F.count("*").alias("n"))
+
+
 def with_job_defaults(jobs: DataFrame) -> DataFrame:
     """Jobs with the default type where none was attached."""
     return jobs.withColumn("JobTypeId", F.coalesce("JobTypeId", F.lit(DEFAULT_JOB_TYPE)))

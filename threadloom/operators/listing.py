@@ -2,34 +2,41 @@
 
 A listing row is one element of one listing page: board, page_no, pos, fullname, created_ms,
 permalink, promoted. Listing order is (page_no, pos). Nothing here sorts or gathers a whole board:
-where the order matters, the cut-off of each board is found by an aggregate and compared with.
+where the order matters, the cut-off of each board is found by aggregates, and rows are compared
+with it. Cut-offs are the same on every reading, so none is stored.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions.scalars import DEFAULT_PERIOD, PAGE_SIZE, in_period, in_period_by
-from threadloom.operators.joins import lookup_join, sized_join
-from threadloom.session import materialize
+from threadloom.operators.joins import (
+    MAX_BROADCAST_BYTES,
+    bounded_join,
+    lookup_join,
+    measured_bytes,
+)
 
-# first_n merges candidates in two steps; this many groups per board share the first.
-_MERGE_WIDTH = 256
-# Beyond this n Spark does not prune candidates per task, so a third step is put first.
-_PRUNED_N = 1000
+# Pages are counted in blocks of this many, so that no task orders all pages of a board.
+_BLOCK = 4096
+_PLACES = 1 << 31  # of a page: every int
 
 
 def listing_rank(page_no: Column | str = "page_no", pos: Column | str = "pos") -> Column:
-    """Listing order as one number: 2**20 positions per page, far above any page's size.
+    """Listing order as one number, wide enough for any page and place; no place is the last one.
 
-    One long, unlike a struct, is aggregated by hash without sorting.
+    A decimal, unlike a struct, is aggregated by hash without sorting.
     """
     page_no = F.col(page_no) if isinstance(page_no, str) else page_no
     pos = F.col(pos) if isinstance(pos, str) else pos
-    return F.shiftleft(page_no.cast("bigint"), 20) + pos
+    place = F.coalesce(pos.cast("bigint"), F.lit(_PLACES - 1)).cast("decimal(11,0)")
+    first = page_no.cast("decimal(20,0)") * F.lit(Decimal(_PLACES))
+    return (first + place).cast("decimal(38,0)")
 
 
 def organic(listing: DataFrame) -> DataFrame:
@@ -66,25 +73,49 @@ def take_while_recent(listing: DataFrame, now: datetime | int, period: float | N
     return take_while(organic(listing), in_period("created_ms", now, period or DEFAULT_PERIOD))
 
 
-def _top(rows: DataFrame, n: int, *by: str) -> DataFrame:
-    window = Window.partitionBy(*by).orderBy("_rank")
-    return rows.withColumn("_nth", F.row_number().over(window)).filter(F.col("_nth") <= n)
+def count_stops(pages: DataFrame) -> DataFrame:
+    """Where each board has `_limit` rows: all pages before `_page`, and `_nth` rows of that one.
 
+    `pages` has board, page_no, `_n` rows and `_limit`. Blocks of pages are counted first, then
+    the pages of the one block that reaches the limit. Boards of fewer rows have no stop.
+    """
+    def reaching(counts: DataFrame, *order: str) -> DataFrame:
+        before = Window.partitionBy("board").orderBy(*order).rowsBetween(
+            Window.unboundedPreceding, -1)
+        seen = F.col("_seen") + F.coalesce(F.sum("_n").over(before), F.lit(0))
+        return counts.withColumn("_seen", seen).filter(
+            (F.col("_seen") < F.col("_limit")) & (F.col("_seen") + F.col("_n") >= F.col("_limit")))
+
+    block = F.floor(F.col("page_no") / _BLOCK)
+    pages = pages.withColumn("_block", block)
+    blocks = pages.groupBy("board", "_block").agg(
+        F.sum("_n").alias("_n"), F.max("_limit").alias("_limit")).withColumn("_seen", F.lit(0))
+    within = pages.join(
+        reaching(blocks, "_block").select("board", "_block", "_seen"), ["board", "_block"])
+    return reaching(within, "page_no").select(
+        "board", F.col("page_no").alias("_page"), (F.col("_limit") - F.col("_seen")).alias("_nth"))
+
+
+def up_to_count(rows: DataFrame) -> DataFrame:
+    """Rows up to their board's `_page` and `_nth`; all where these are null.
+
+    Only rows of the one page in which a board ends are ordered.
+    """
+    before = rows.filter(F.col("_page").isNull() | (F.col("page_no") < F.col("_page")))
+    order = Window.partitionBy("board").orderBy(listing_rank())
+    ending = rows.filter(F.col("page_no") == F.col("_page")).withColumn(
+        "_at", F.row_number().over(order)).filter(F.col("_at") <= F.col("_nth")).drop("_at")
+    return before.unionByName(ending).drop("_page", "_nth")
 
-def first_n_organic(rows: DataFrame, n: int) -> DataFrame:
-    """First n rows of each board.
 
-    Each task first keeps its own n per board, groups of tasks then merge theirs, and the last
-    step sees at most n rows from each group.
-    """
-    task = F.spark_partition_id()
-    rows = rows.withColumns({"_rank": listing_rank(), "_group": F.pmod(task, F.lit(_MERGE_WIDTH))})
-    if n > _PRUNED_N:
-        spread = F.pmod(F.xxhash64("board", "_rank"), F.lit(_MERGE_WIDTH * 16)).cast("int")
-        rows = _top(rows.withColumn("_spread", spread), n, "board", "_spread")
-        rows = rows.withColumn("_group", F.pmod("_spread", F.lit(_MERGE_WIDTH))).drop("_spread")
-    rows = _top(rows, n, "board", "_group")
-    return _top(rows, n, "board").drop("_rank", "_group", "_nth")
+def _page_counts(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("board", "page_no").agg(F.count("*").alias("_n"))
+
+
+def first_n_organic(rows: DataFrame, n: int) -> DataFrame:
+    """First n rows of each board."""
+    stops = count_stops(_page_counts(rows).withColumn("_limit", F.lit(n)))
+    return up_to_count(lookup_join(rows, stops, "board", "left"))
 
 
 def first_n(listing: DataFrame, n: int) -> DataFrame:
@@ -98,8 +129,15 @@ def select_listing(
     take_all: bool = False,
     count_limit: int | None = None,
     period: float | None = None,
+    page_size: int | None = PAGE_SIZE,
 ) -> DataFrame:
-    """Rows one run takes: all if asked, else the first `count_limit`, else take-while by age."""
+    """Rows one run takes: all if asked, else the first `count_limit`, else take-while by age.
+
+    In every mode a board ends with its first page of fewer than `page_size` elements, or where a
+    page is missing; None goes on regardless.
+    """
+    if page_size is not None:
+        listing = reached_listing(listing, page_size)
     if take_all:
         return organic(listing)
     if count_limit:
@@ -107,33 +145,34 @@ def select_listing(
     return take_while_recent(listing, now, period)
 
 
-def select_by_plan(listing: DataFrame, plan: DataFrame, now: datetime | int) -> DataFrame:
+def select_by_plan(
+    listing: DataFrame, plan: DataFrame, now: datetime | int, page_size: int | None = PAGE_SIZE
+) -> DataFrame:
     """As select_listing for many boards at once, each with its own mode.
 
     `plan` has one row per board: board, mode ('all', 'count' or 'period'), count_limit, period.
-    Boards without a plan are not taken.
+    Boards without a plan are not taken. What is looked up has a row per board of the plan, so the
+    plan alone is measured.
     """
-    plan = materialize(plan.select("board", "mode", "count_limit", "period"))
-    by_count = F.col("mode") == "count"
-    size = plan.agg(
-        F.count("*").alias("n"), F.max(F.when(by_count, F.col("count_limit"))).alias("most")).first()
-    rows = sized_join(organic(listing), plan, "board", "inner", size.n)
-
-    period = F.coalesce(F.nullif("period", F.lit(0)), F.lit(DEFAULT_PERIOD))
-    stops = _stops(rows.filter(
-        (F.col("mode") == "period") & ~in_period_by("created_ms", now, period)))
-
-    if size.most is not None:
-        # The row after the last one wanted is the stop of a count board.
-        leading = first_n_organic(
-            rows.filter(by_count).select("board", "page_no", "pos", "count_limit"),
-            int(size.most) + 1)
-        nth = F.row_number().over(Window.partitionBy("board").orderBy(listing_rank()))
-        stops = stops.unionByName(
-            leading.withColumn("_nth", nth)
-            .filter(F.col("_nth") == F.col("count_limit") + 1)
-            .select("board", listing_rank().alias("_stop")))
-    return before_stop(rows, stops).drop("mode", "count_limit", "period")
+    plan = plan.select("board", "mode", "count_limit", "period")
+    is_small = measured_bytes(plan) <= MAX_BROADCAST_BYTES
+    rows = organic(listing)
+    by_age = plan.filter(F.col("mode") == "period").select(
+        "board", F.coalesce(F.nullif("period", F.lit(0)), F.lit(DEFAULT_PERIOD)).alias("period"))
+    old = bounded_join(rows, by_age, "board", "inner", is_small).filter(
+        ~in_period_by("created_ms", now, F.col("period")))
+    by_count = plan.filter(F.col("mode") == "count").select(
+        "board", F.col("count_limit").alias("_limit"))
+    counted = count_stops(_page_counts(rows).join(by_count, "board"))
+
+    ends = plan.select("board").join(_stops(old), "board", "left").join(counted, "board", "left")
+    if page_size is not None:
+        ends = ends.join(crawl_ends(listing, page_size), "board", "left")
+        end = listing_rank(F.col("_last_page") + 1, F.lit(0))
+        ends = ends.withColumn("_stop", F.least("_stop", end)).drop("_last_page")
+    chosen = bounded_join(rows, ends, "board", "inner", is_small).filter(
+        F.col("_stop").isNull() | (listing_rank() < F.col("_stop"))).drop("_stop")
+    return up_to_count(chosen)
 
 
 def listing_counts(selected: DataFrame) -> DataFrame:
@@ -146,49 +185,41 @@ def page_stats(listing: DataFrame) -> DataFrame:
         F.count("*").alias("n_elements"), F.max_by("fullname", "pos").alias("cursor"))
 
 
-def with_blank_pages(pages: DataFrame) -> DataFrame:
-    """Add, for every board, the blank pages a crawl would meet: page 0 and each page after one
-    that is present, where absent."""
-    def mark(page_no: Column, n_elements: Column, cursor: Column) -> Column:
-        return F.struct(page_no.cast("bigint").alias("page_no"), n_elements.alias("n_elements"),
-                        cursor.alias("cursor"))
-
-    none, no_cursor = F.lit(0).cast("bigint"), F.lit(None).cast("string")
+def _followed(pages: DataFrame) -> DataFrame:
+    """Pages with `_next`, whether the board's next page is present."""
     marks = F.array(
-        mark(F.col("page_no"), F.col("n_elements"), F.col("cursor")),
-        mark(F.col("page_no") + 1, none, no_cursor),
-        mark(F.lit(0), none, no_cursor),
-    )
-    return (
-        pages.select("board", F.inline(marks))
-        .groupBy("board", "page_no")
-        .agg(F.sum("n_elements").alias("n_elements"), F.max("cursor").alias("cursor"))
-    )
-
-
-def mark_reached(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Pages with is_last (not full) and is_reached (no earlier page of the board was last)."""
-    # Used twice, and a small part of the listing it is grouped from.
-    pages = materialize(pages.withColumn("is_last", F.col("n_elements") < page_size))
-    stops = pages.filter("is_last").groupBy("board").agg(F.min("page_no").alias("_stop_page"))
-    return (
-        lookup_join(pages, stops, "board", "left")
-        .withColumn("is_reached", F.coalesce(F.col("page_no") <= F.col("_stop_page"), F.lit(True)))
-        .drop("_stop_page")
-    )
+        F.struct(F.col("page_no"), F.col("n_elements"), F.lit(False).alias("_next")),
+        F.struct((F.col("page_no") - 1).alias("page_no"),
+                 F.lit(None).cast("bigint").alias("n_elements"), F.lit(True).alias("_next")))
+    return pages.select("board", F.inline(marks)).groupBy("board", "page_no").agg(
+        F.max("n_elements").alias("n_elements"), F.max("_next").alias("_next")
+    ).filter(F.col("n_elements").isNotNull())
+
+
+def crawl_ends(listing: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """The last page of each board that a page-by-page crawl gets to, as `_last_page`.
+
+    That is the first page that is not full, or after which one is missing; -1 without page 0.
+    """
+    pages = _followed(listing.groupBy("board", "page_no").agg(F.count("*").alias("n_elements")))
+    is_end = (F.col("n_elements") < page_size) | ~F.col("_next")
+    return pages.groupBy("board").agg(
+        F.min("page_no").alias("_first"),
+        F.min(F.when(is_end, F.col("page_no"))).alias("_last")
+    ).select("board", F.when(F.col("_first") > 0, -1).otherwise(F.col("_last")).alias("_last_page"))
 
 
 def listing_pages(listing: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Per page: size, cursor, whether it ends the listing and whether a crawl gets to it."""
-    return mark_reached(with_blank_pages(page_stats(listing)), page_size)
+    """Per page that is there: size, cursor, whether it is not full, whether a crawl gets to it."""
+    pages = lookup_join(page_stats(listing), crawl_ends(listing, page_size), "board", "left")
+    return pages.withColumns({
+        "is_last": F.col("n_elements") < page_size,
+        "is_reached": F.col("page_no") <= F.col("_last_page"),
+    }).drop("_last_page")
 
 
 def reached_listing(listing: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Rows a page-by-page crawl sees: up to each board's first page that is not full."""
-    pages = with_blank_pages(page_stats(listing))
-    stops = (
-        pages.filter(F.col("n_elements") < page_size)
-        .groupBy("board")
-        .agg(listing_rank(F.min("page_no") + 1, F.lit(0)).alias("_stop"))
-    )
-    return before_stop(listing, stops)
+    """Rows a page-by-page crawl sees: up to the last page it gets to."""
+    ends = crawl_ends(listing, page_size)
+    return lookup_join(listing, ends, "board").filter(
+        F.col("page_no") <= F.col("_last_page")).drop("_last_page")

@@ -55,6 +55,18 @@ def message_status(messages: DataFrame) -> DataFrame:
     return messages.withColumn("_data", data).withColumn("status", status).drop("_data")
 
 
+def parse_with_status(messages: DataFrame, author_alias: bool = False) -> DataFrame:
+    """As parse_envelope, with the `status` and the `value` of each message."""
+    marked = message_status(messages)
+    parsed = F.from_json("value", StructType(
+        [*ENVELOPE.fields, StructField("Author", StringType(), True)]))
+    records = marked.select(parsed.alias("data"), "status", "value").select(
+        "data.*", "status", "value")
+    if author_alias:
+        records = records.withColumn("AuthorName", F.coalesce("AuthorName", "Author"))
+    return records.drop("Author")
+
+
 def bad_record_counts(messages: DataFrame) -> DataFrame:
     """Messages per status, so that nothing is dropped without a trace."""
     return message_status(messages).groupBy("status").agg(F.count("*").alias("n"))
@@ -75,7 +87,8 @@ def enrich(
 def encode_json(records: DataFrame, *keep: str) -> DataFrame:
     """Records as JSON messages in `value`, with the keys each record type publishes.
 
-    Null fields are written out; a comment's time is a number, a post's is text.
+    Null fields are written out; a comment's time is a number, a post's is text. A record of any
+    other type has no message: its `value` is null, which message_status counts as empty.
     """
     present = set(records.columns)
 
@@ -88,6 +101,7 @@ def encode_json(records: DataFrame, *keep: str) -> DataFrame:
         fields = [override[k].alias(k) if k in override else field(k) for k in keys]
         return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
-    value = F.when(F.col("Type") == "Post", message(POST_MESSAGE_KEYS)).otherwise(
-        message(COMMENT_MESSAGE_KEYS, CreatedAt=F.col("CreatedAt").try_cast("bigint")))
+    comment = message(COMMENT_MESSAGE_KEYS, CreatedAt=F.col("CreatedAt").try_cast("bigint"))
+    value = F.when(F.col("Type") == "Post", message(POST_MESSAGE_KEYS)).when(
+        F.col("Type") == "Comment", comment)
     return records.select(*keep, value.alias("value"))

@@ -18,7 +18,7 @@ def assign_serials(
     numbered on the rows of its condition only and keeps its value elsewhere. Digests are uniform,
     so buckets by digest prefix are even whatever the keys look like; each is numbered on its own
     and shifted by the count of the buckets before it. `keys` is read twice and must give the same
-    rows both times (see session.materialize).
+    rows both times; where the tables behind it are appended to meanwhile, store it first.
     """
     where = where or {}
     takes = {into: where.get(into, F.lit(True)) for into in serials}

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from threadloom.operators.joins import spread_join
 
-# Comment ids held by one RelatedCommentId value. A longer thread goes on in further rows, so that
-# no task ever holds a whole giant thread.
-CHUNK = 10_000
+# Comments of a thread are first put in order in blocks of this many places.
+BLOCK = 10_000
 
 
 def thread_union(headings: DataFrame, comments: DataFrame) -> DataFrame:
@@ -20,35 +19,38 @@ def thread_union(headings: DataFrame, comments: DataFrame) -> DataFrame:
     return headings.unionByName(comments, allowMissingColumns=True)
 
 
-def _ids(comments: DataFrame, *by: Column | str) -> DataFrame:
-    """Comment ids in document order, per group."""
+def related_ids(comments: DataFrame) -> DataFrame:
+    """The flat relation, for analysis: ParentPostId, pos, Id. No thread meets in one row."""
+    return comments.select("ParentPostId", "pos", "Id")
+
+
+def _ids(comments: DataFrame, block: int) -> DataFrame:
+    """Comment ids of each post in document order: by blocks of places, then the blocks in order.
+
+    Comments without a place come last, in the order of their ids.
+    """
+    number = F.coalesce(F.floor(F.col("pos") / block), F.lit(1 << 62)).cast("bigint")
     ordered = F.array_sort(F.collect_list(F.struct("pos", "Id")))
-    return comments.groupBy(*by).agg(
-        F.transform(ordered, lambda item: item["Id"]).alias("_ids")
-    ).withColumnRenamed("ParentPostId", "Id")
+    blocks = comments.groupBy("ParentPostId", number.alias("_block")).agg(
+        F.transform(ordered, lambda item: item["Id"]).alias("_ids"))
+    merged = F.array_sort(F.collect_list(F.struct("_block", "_ids")))
+    return blocks.groupBy(F.col("ParentPostId").alias("Id")).agg(
+        F.flatten(F.transform(merged, lambda item: item["_ids"])).alias("_ids"))
 
 
 def related_map(ids: Column) -> Column:
     return F.create_map(F.lit("id"), ids)
 
 
-def attach_related_ids(posts: DataFrame, comments: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def attach_related_ids(posts: DataFrame, comments: DataFrame, block: int = BLOCK) -> DataFrame:
     """Posts with RelatedCommentId = {"id": [comment ids]}, an empty list if there are none.
 
-    A thread of up to `chunk` comments gives one row (`chunk` 0). A longer one repeats its post
-    with `chunk` 1, 2, ... for the following ids.
+    One row per post with all its ids, because that row is the message to send; texts never meet
+    in it. `related_ids` is the form without such rows.
     """
-    comments = comments.select("ParentPostId", "pos", "Id")
-    posts = posts.drop("RelatedCommentId")
-
-    # Grouped by the join key alone, so the join takes the grouping's partitions as they are.
-    head = _ids(comments.filter(F.col("pos") <= chunk), "ParentPostId")
-    first = posts.join(head, "Id", "left").withColumn("chunk", F.lit(0))
-    nth = F.floor((F.col("pos") - 1) / chunk).cast("int").alias("chunk")
-    tail = _ids(comments.filter(F.col("pos") > chunk), "ParentPostId", nth)
-    rest = spread_join(tail, posts, "Id")
+    ids = _ids(related_ids(comments), block)
     no_ids = F.array().cast("array<string>")
-    return first.unionByName(rest).withColumn(
+    return posts.drop("RelatedCommentId").join(ids, "Id", "left").withColumn(
         "RelatedCommentId", related_map(F.coalesce(F.col("_ids"), no_ids))).drop("_ids")
 
 

@@ -45,21 +45,27 @@ _TAKE_WHILE = f"""take_while as (
 
 def _pages(listing: str, page_size: int) -> str:
     return f"""{listing},
-present as (
+pages_ as (
   select board, page_no, count(*) as n_elements, arg_max(fullname, pos) as cursor
   from l group by all),
-wanted as (select board, page_no + 1 as page_no from present union select distinct board, 0 from present),
-pages_ as (
-  select * from present union all
-  select board, page_no, 0, null from wanted
-  where (board, page_no) not in (select (board, page_no) from present)),
-stops as (select board, min(page_no) as stop from pages_ where n_elements < {page_size} group by 1)"""
+{_crawl(page_size)}"""
+
+
+def _crawl(page_size: int) -> str:
+    """The last page a crawl gets to, per board of pages_."""
+    return f"""ends as (
+  select board, page_no, lead(page_no) over (partition by board order by page_no) as following,
+    min(page_no) over (partition by board) as first_page, n_elements from pages_),
+stops as (
+  select board, case when min(first_page) > 0 then -1 else min(page_no) filter (
+    n_elements < {page_size} or following is null or following > page_no + 1) end as stop
+  from ends group by 1)"""
 
 
 def _listing_pages(listing: str, page_size: int) -> str:
     return f"""with {_pages(listing, page_size)}
 select board, page_no, cast(n_elements as bigint) as n_elements, cursor,
-  n_elements < {page_size} as is_last, page_no <= coalesce(stop, page_no) as is_reached
+  n_elements < {page_size} as is_last, page_no <= stop as is_reached
 from pages_ left join stops using (board)"""
 
 
@@ -118,12 +124,11 @@ select "Id", "AuthorId", cast(null as varchar) as "AuthorName", "Permalink", "Co
   "IsActive", "ParsedTime"
 from e where "Type" = 'Comment'""",
 
-    "bad_record_counts": """
-select case event_id % 11 when 0 then 'no_type' when 1 then 'ok' when 2 then 'ok'
-  when 3 then 'malformed' when 4 then 'malformed' when 5 then 'empty' when 6 then 'empty'
-  when 7 then 'malformed' when 8 then 'unknown_type' when 9 then 'partial' else 'no_type' end
-  as status, count(*) as n
-from events group by 1""",
+    "bad_record_counts": f"""with {_E}
+select case cast('0x' || substr(md5("Id"), 1, 1) as int) % 8 when 0 then 'ok' when 1 then 'malformed'
+  when 2 then 'malformed' when 3 then 'unknown_type' when 4 then 'no_type' when 5 then 'partial'
+  else 'empty' end as status, count(*) as n
+from e group by 1""",
 
     "route_target": """
 select event_id, case event_type when 'view' then 'Posts' when 'click' then 'Comments'
@@ -153,17 +158,15 @@ from e""",
 
     "thread_related_ids": f"""with {_E},
 c as (
-  select "ParentPostId", cast((pos - 1) // 10000 as int) as chunk,
-    string_agg("Id", ',' order by pos) as related_ids, count(*) as n_related
+  select "ParentPostId", string_agg("Id", ',' order by pos) as related_ids, count(*) as n_related
   from e where "Type" = 'Comment' group by all)
-select p."Id", coalesce(c.chunk, 0) as chunk, coalesce(related_ids, '') as related_ids,
+select p."Id", coalesce(related_ids, '') as related_ids,
   coalesce(n_related, 0) as n_related
 from (select * from e where "Type" = 'Post') p left join c on c."ParentPostId" = p."Id" """,
 
     "thread_messages": f"""with {_E},
 c as (
-  select "ParentPostId" as post, (pos - 1) // 10000 as chunk,
-    string_agg("Id", ',' order by pos) as related_ids
+  select "ParentPostId" as post, string_agg("Id", ',' order by pos) as related_ids
   from e where "Type" = 'Comment' group by all)
 select "Id", "AuthorId", "AuthorName", "Permalink", "Comment", "CreatedAt", "SubredditName",
   "SubredditRankingType", "IsActive", "ParsedTime", coalesce(related_ids, '') as related_ids
@@ -214,12 +217,27 @@ select board, fullname, created_ms from l where {_IN_PERIOD}""",
     "listing_pages_sparse": _listing_pages(_L50, 2),
 
     "listing_reached": f"""with {_pages(_L50, 2)}
-select board, fullname, created_ms, page_no from l left join stops using (board)
-where stop is null or page_no <= stop""",
+select board, fullname, created_ms, page_no from l join stops using (board) where page_no <= stop""",
 
     "listing_by_plan": f"""with {_L}, {_PLANNED}
 select board, fullname, created_ms from planned""",
 
+    "listing_crawl": f"""with {_pages(_L50, 2)},
+seen as (
+  select o.*, cast(board as int) as b,
+    row_number() over (partition by board order by page_no, pos) as nth,
+    sum(case when {_IN_PERIOD} then 0 else 1 end)
+      over (partition by board order by page_no, pos) as n_out,
+    sum(case when 1706659200000 - created_ms <= 100000000 then 0 else 1 end)
+      over (partition by board order by page_no, pos) as n_older
+  from organic o join stops using (board) where page_no <= stop)
+select 'all' as mode, board, fullname, page_no from seen
+union all select 'count', board, fullname, page_no from seen where nth <= 9
+union all select 'period', board, fullname, page_no from seen where n_out = 0
+union all select 'plan', board, fullname, page_no from seen
+where case when b in (1, 2) then nth <= b * 10 when b = 3 then n_out = 0
+  when b = 4 then n_older = 0 else true end""",
+
     "board_path": f"""with named as (
   select event_id, {_RANKINGS}[event_id % 11 + 1] as ranking,
     case event_type when 'view' then '/r/news/' when 'click' then '/r/friday/'
@@ -269,6 +287,21 @@ from (
   from b left join s on s.bid = b.bid where s.active = true)
 where n = 1""",
 
+    "lookup_board": f"""with {_SCHEDULES}, {_BOARDS}
+select b.bid as "SubredditId", name as "SubredditName", sid as "SubredditScheduleId",
+  strftime(last, '%Y-%m-%d %H:%M:%S') as "LastParsedDate"
+from b join s on s.bid = b.bid where active and name = 'r/BUILDING3'
+order by b.bid desc, sid desc limit 1""",
+
+    "sql_bound_rows": """
+select c_custkey, count(*) as n_orders, max(o_orderkey) as last_order
+from orders join customer on o_custkey = c_custkey
+where c_mktsegment = 'BUILDING' and o_orderdate >= date '1995-01-01' group by 1""",
+
+    "sql_first_row": """
+select o_orderkey, o_custkey, o_orderstatus from orders where o_orderstatus = 'O'
+order by o_orderdate desc, o_orderkey desc limit 1""",
+
     "get_or_create_topic": """with requested as (
   select distinct case event_type when 'view' then 'NATION_' || (user_id % 30)
     else event_type || '-' || user_id end as name from events),
@@ -379,16 +412,13 @@ from l group by all""",
     "thread_extract": f"""with {_E},
 c as (
   select "ParentPostId" as post, string_agg("Id", ',' order by pos) as related_ids
-  from e where "Type" = 'Comment' and pos <= 200 group by all)
+  from e where "Type" = 'Comment' group by all)
 select 'https://forum.example/comments/t3_' || conv_id || '_0/' as url,
-  cast(case when pos = 0 then 0 else (pos - 1) // 200 end as int) as part,
-  cast(case when pos = 0 then 0 else (pos - 1) % 200 + 1 end as int) as pos,
   "Type", "Id", "AuthorId",
   case when "Type" = 'Post' then "AuthorName" end as "AuthorName",
   case when "Type" = 'Comment' then "AuthorName" end as "Author",
   "Permalink", {_TRIM} as "Comment",
-  case when (pos - 1) % 200 <> 0 then "ParentCommentId" end as "ParentCommentId",
-  "ParentPostId", "CreatedAt",
+  "ParentCommentId", "ParentPostId", "CreatedAt",
   case when "Type" = 'Post' then coalesce(related_ids, '') end as related_ids
 from e left join c on post = "Id" """,
 
@@ -397,16 +427,18 @@ l as (
   select cast(conv_id % 5 as varchar) as board, conv_id // 125 as page_no, conv_id % 125 as pos,
     conv_id, cast("CreatedAt" as bigint) as created_ms, conv_id % 7 = 0 as ad
   from e where "Type" = 'Post'),
-organic as (select * from l where not ad),
+pages_ as (select board, page_no, count(*) as n_elements from l group by all),
+{_crawl(25)},
+organic as (select l.* from l join stops using (board) where page_no <= stop and not ad),
 {_PLANNED},
 c as (
   select "ParentPostId" as post, string_agg("Id", ',' order by pos) as related_ids
-  from e where "Type" = 'Comment' and pos <= 200 group by all)
+  from e where "Type" = 'Comment' group by all)
 select "Type", "Id", "AuthorId",
   case when "Type" = 'Post' then "AuthorName" end as "AuthorName",
   case when planned.b = 2 then 'topall' else 'new' end as "SubredditRankingType",
   "Permalink", {_TRIM} as "Comment", "CreatedAt",
-  case when (e.pos - 1) % 200 <> 0 then "ParentCommentId" end as "ParentCommentId", "ParentPostId",
+  "ParentCommentId", "ParentPostId",
   '/r/b' || planned.b || case when planned.b = 2 then '/top/?sort=top&t=all' else '/new/' end
     as "SubredditName",
   true as "IsActive", '2024-01-31 00:00:00' as "ParsedTime",

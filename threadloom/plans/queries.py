@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from threadloom.functions import scalars as fx
 from threadloom.operators import documents, extract, ledger, listing, parse, route, threads
 from threadloom.plans import publish, views
+from threadloom.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,22 +77,26 @@ def comments(spark, sf_dir):
 
 @query
 def bad_record_counts(spark, sf_dir):
-    event, props = F.col("event_id"), F.col("props")
+    """The messages of the conversations, each broken in one of seven ways or left whole."""
+    messages = parse.encode_json(
+        views.envelope(spark, sf_dir).withColumn(
+            "n", F.conv(F.substring(F.md5("Id"), 1, 1), 16, 10).cast("int") % 8), "n", "pos")
+    value = F.col("value")
+
+    def changed(old: str, new: str) -> Column:
+        return F.replace(value, F.lit(old), F.lit(new))
+
     broken = F.element_at(F.array(
-        props,
-        F.lit('{"Type":"Post","Id":"t3_x"}'),
-        F.lit('{"Type":"Comment","Id":"t1_x","CreatedAt":1700000000001}'),
-        F.concat(F.lit('{"Type":"Post","Id":'), props),
-        F.concat(F.lit("not json "), props),
-        F.lit("  "),
+        value,
+        F.expr("left(value, length(value) - 1)"),
+        F.concat(F.lit("["), value, F.lit("]")),
+        changed('"Type":"', '"Type":"un'),
+        changed('"Type":', '"Kind":'),
+        changed('"IsActive":true', '"IsActive":"yes"'),
+        F.repeat(F.lit(" "), F.col("pos")),
         F.lit(None).cast("string"),
-        F.concat(F.lit("["), props, F.lit("]")),
-        F.lit('{"Type":"post"}'),
-        F.lit('{"Type":"Post","IsActive":"yes"}'),
-        F.lit("{}"),
-    ), (event % 11 + 1).cast("int"))
-    return parse.bad_record_counts(
-        views.table(spark, sf_dir, "events").select(broken.alias("value")))
+    ), (F.col("n") + 1).cast("int"))
+    return parse.bad_record_counts(messages.select(broken.alias("value")))
 
 
 @query
@@ -125,7 +132,7 @@ def _thread_parts(spark, sf_dir):
 def thread_related_ids(spark, sf_dir):
     headings, replies = _thread_parts(spark, sf_dir)
     return threads.attach_related_ids(headings.select("Id"), replies).select(
-        "Id", "chunk", ids_text().alias("related_ids"),
+        "Id", ids_text().alias("related_ids"),
         F.size(F.col("RelatedCommentId")["id"]).cast("bigint").alias("n_related"))
 
 
@@ -175,7 +182,7 @@ _LISTED = ["board", "fullname", "created_ms"]
 @query
 def listing_select(spark, sf_dir):
     return listing.select_listing(
-        views.listing(spark, sf_dir), views.NOW_MS, take_all=True
+        views.listing(spark, sf_dir), views.NOW_MS, take_all=True, page_size=None
     ).select(*_LISTED, "permalink")
 
 
@@ -183,9 +190,11 @@ def listing_select(spark, sf_dir):
 def listing_counts(spark, sf_dir):
     rows = views.listing(spark, sf_dir)
     modes = {
-        "all": listing.select_listing(rows, views.NOW_MS, take_all=True, count_limit=7),
-        "count": listing.select_listing(rows, views.NOW_MS, count_limit=7, period=views.PERIOD),
-        "period": listing.select_listing(rows, views.NOW_MS, period=views.PERIOD),
+        "all": listing.select_listing(rows, views.NOW_MS, take_all=True, count_limit=7, page_size=None),
+        "count": listing.select_listing(
+            rows, views.NOW_MS, count_limit=7, period=views.PERIOD, page_size=None),
+        "period": listing.select_listing(
+            rows, views.NOW_MS, period=views.PERIOD, page_size=None),
     }
     counts = [
         listing.listing_counts(chosen).withColumn("mode", F.lit(mode))
@@ -244,7 +253,23 @@ def _board_plan(rows: DataFrame) -> DataFrame:
 @query
 def listing_by_plan(spark, sf_dir):
     rows = views.listing(spark, sf_dir)
-    return listing.select_by_plan(rows, _board_plan(rows), views.NOW_MS).select(*_LISTED)
+    return listing.select_by_plan(
+        rows, _board_plan(rows), views.NOW_MS, page_size=None).select(*_LISTED)
+
+
+@query
+def listing_crawl(spark, sf_dir):
+    """Every mode, ending where the listing ends: at a page that is not full or not there."""
+    rows = views.listing(spark, sf_dir, n_boards=50)
+    chosen = {
+        "all": listing.select_listing(rows, views.NOW_MS, take_all=True, page_size=2),
+        "count": listing.select_listing(rows, views.NOW_MS, count_limit=9, page_size=2),
+        "period": listing.select_listing(rows, views.NOW_MS, period=views.PERIOD, page_size=2),
+        "plan": listing.select_by_plan(rows, _board_plan(rows), views.NOW_MS, page_size=2),
+    }
+    return functools.reduce(DataFrame.unionByName, [
+        part.select(F.lit(mode).alias("mode"), "board", "fullname", "page_no")
+        for mode, part in chosen.items()])
 
 
 # --- scalar functions ------------------------------------------------------------------------
@@ -325,6 +350,40 @@ def ledger_lookup_top1(spark, sf_dir):
         "LastParsedDate", stamp(F.col("LastParsedDate")))
 
 
+@query
+def lookup_board(spark, sf_dir):
+    """The board and schedule of one name, many boards sharing it."""
+    found = ledger.lookup_board(
+        views.boards(spark, sf_dir), views.schedules(spark, sf_dir), "r/BUILDING3")
+    return found.select(
+        "SubredditId", "SubredditName", "SubredditScheduleId",
+        stamp(F.col("LastParsedDate")).alias("LastParsedDate"))
+
+
+@query
+def sql_bound_rows(spark, sf_dir):
+    """SQL text with its values bound: what each customer of a segment ordered since a day."""
+    return tables.run_sql(
+        spark, f"""
+        select c_custkey, count(*) as n_orders, max(o_orderkey) as last_order
+        from parquet.`{sf_dir}/orders.parquet` join parquet.`{sf_dir}/customer.parquet`
+          on o_custkey = c_custkey
+        where c_mktsegment = :segment and o_orderdate >= :since
+        group by c_custkey""",
+        segment="BUILDING", since=datetime.date(1995, 1, 1))
+
+
+@query
+def sql_first_row(spark, sf_dir):
+    """First row of a bound query: the last order of one status."""
+    row = tables.fetch_first(
+        spark, f"""
+        select o_orderkey, o_custkey, o_orderstatus from parquet.`{sf_dir}/orders.parquet`
+        where o_orderstatus = :status order by o_orderdate desc, o_orderkey desc""", status="O")
+    schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string"
+    return spark.createDataFrame([] if row is None else [tuple(row)], schema)
+
+
 @query
 def get_or_create_topic(spark, sf_dir):
     topics = views.table(spark, sf_dir, "nation").select(
@@ -492,14 +551,12 @@ def listing_page_cursor(spark, sf_dir):
         (F.col("n_elements") < fx.PAGE_SIZE).alias("is_last"))
 
 
-_PARTS = ("url", "part")
-
-
 @query
 def thread_extract(spark, sf_dir):
     pages = views.thread_page_html(views.envelope(spark, sf_dir))
-    return flat(extract.extract_thread(pages, _PARTS)).filter(
-        (F.col("Type") == "Comment") | (F.col("part") == 0))
+    records = extract.combine_parts(
+        extract.extract_thread(pages, ("url", "part")), ("url",), "part")
+    return flat(records.drop("part", "pos"))
 
 
 @query
@@ -522,6 +579,5 @@ def publish_threads(spark, sf_dir):
         "ranking": ranking})
     published = publish.publish_records(
         views.listing_page_html(listed), views.thread_page_html(records), plan,
-        views.NOW_MS, views.BASE_URL, views.run_time(), _PARTS)
-    whole = published.filter((F.col("Type") == "Comment") | (F.col("part") == 0))
-    return flat(parse.parse_envelope(parse.encode_json(whole)))
+        views.NOW_MS, views.BASE_URL, views.run_time(), part="part")
+    return flat(parse.parse_envelope(parse.encode_json(published)))

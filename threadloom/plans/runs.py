@@ -114,14 +114,18 @@ class Ledger:
         self._append("SubredditSchedule", found.filter("created_schedule").withColumns(_new_row()))
         return found
 
-    def start(self, names: DataFrame, topic: str, execution_type: str = "manual") -> DataFrame:
-        """Open one job per named board and attach board, type and topic to it."""
+    def open(self, names: DataFrame) -> DataFrame:
+        """Open one job per named board."""
         boards = self.boards(names)
         first = self.table("JobEvent").agg(
             F.coalesce(F.max("SubredditJobId"), F.lit(0))).scalar()
         runs = materialize(assign_serials(boards, "SubredditName", {"SubredditJobId": first}))
         opened = runs.withColumns({"at": F.current_timestamp(), "JobStatus": F.lit("started")})
         self._append("JobEvent", opened.select("SubredditJobId", "at", "JobStatus"))
+        return runs
+
+    def attach(self, runs: DataFrame, topic: str, execution_type: str = "manual") -> None:
+        """Attach board, type and topic to the jobs of `runs`."""
         attached = ledger.attach_job(
             runs.withColumns({
                 "JobTypeId": F.lit(None).cast("int"), "TopicId": F.lit(None).cast("bigint")}),
@@ -129,7 +133,6 @@ class Ledger:
             F.col("SubredditId"), F.lit(self.topic_id(topic)))
         self._append("JobEvent", attached.withColumn("at", F.current_timestamp()).select(
             "SubredditJobId", "at", "SubredditId", "JobTypeId", "TopicId"))
-        return runs
 
     def finish(self, runs: DataFrame, ok: bool, parsed_at: Column | None = None) -> None:
         """Close the jobs and schedules of `runs`; success moves their last parsed date."""
@@ -160,14 +163,16 @@ def run_logged(
 ) -> None:
     """Run `work` on the named boards and record how it ended; its error is raised again.
 
+    From the moment the jobs are open, whatever fails is recorded: attaching them, too.
     `work` gets one row per board: ids, LastParsedDate, SubredditJobId. The date success leaves
     behind is the end of the run, its start (`watermark="start"`), or what `work` returns.
     """
     if watermark not in ("start", "end"):
         raise ValueError("watermark is 'start' or 'end'")
-    runs = store.start(names, topic, execution_type)
-    started = store.spark.sql("SELECT current_timestamp()").first()[0]
+    runs = store.open(names)
     try:
+        store.attach(runs, topic, execution_type)
+        started = store.spark.sql("SELECT current_timestamp()").first()[0]
         newest = work(runs)
     except Exception:
         store.finish(runs, ok=False)

@@ -15,7 +15,7 @@ PERIOD = 150_000  # seconds
 BASE_URL = "https://forum.example"
 FIRST_POST_MS = 1_704_067_200_000
 LISTING_SPAN = 125  # events per listing page number, about 25 for each of the five boards
-COMMENTS_PER_PAGE = 200  # a longer thread is rendered as several pages
+COMMENTS_PER_PAGE = 200  # a longer thread is rendered as several parts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,7 +110,7 @@ def thread_page_html(records: DataFrame) -> DataFrame:
     """Thread records rendered as pages (url, part, html).
 
     A reply is nested in the comment it answers. After COMMENTS_PER_PAGE comments a thread goes on
-    in a further part, which repeats no heading text and starts at the top level.
+    in a further part, which repeats the post's id and, as context, the comment that is answered.
     """
     body = _text('<div class="md"><p>', escape(F.col("Comment")), "</p></div>")
     heading = _text(
@@ -134,6 +134,11 @@ def thread_page_html(records: DataFrame) -> DataFrame:
     part = F.when(F.col("pos") == 0, 0).otherwise(
         F.floor((F.col("pos") - 1) / COMMENTS_PER_PAGE)).cast("int")
     is_post = F.col("Type") == "Post"
+    goes_on = (F.col("pos") > 1) & (F.col("pos") % COMMENTS_PER_PAGE == 1) & F.col(
+        "ParentCommentId").isNotNull()
+    context = _text(
+        '<div class="thing comment" data-type="comment" data-context="1"',
+        _attribute("data-fullname", F.col("ParentCommentId")), '><div class="child">')
     thread = F.coalesce("ParentPostId", "Id")
     bare_heading = _text(
         '<div class="thing link"', _attribute("data-fullname", F.col("_thread")),
@@ -141,8 +146,9 @@ def thread_page_html(records: DataFrame) -> DataFrame:
     return (
         records.select(
             thread.alias("_thread"), part.alias("part"), "pos",
-            F.when(is_post, heading).otherwise(comment).alias("_html"),
-            F.when(is_post, F.lit(0)).otherwise(F.lit(1)).alias("_nested"))
+            F.when(is_post, heading).when(goes_on, F.concat(context, comment)).otherwise(
+                comment).alias("_html"),
+            F.when(is_post, 0).when(goes_on, 2).otherwise(1).alias("_nested"))
         .groupBy("_thread", "part")
         .agg(_joined("pos", "_html").alias("_html"), F.sum("_nested").cast("int").alias("_depth"))
         .select(

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from threadloom.operators.parse import parse_envelope
+from threadloom.operators.parse import parse_envelope, parse_with_status
 from threadloom.operators.route import split
 from threadloom.schema import DEFAULT_TARGET, TARGETS
 from threadloom.sources.messages import read_messages
@@ -45,7 +45,10 @@ class StreamOptions:
     author_alias: bool = False
     fresh_checkpoint: bool = False
     preview: bool = False
+    print_schema: bool = False
     audit: bool = False
+    # Table for the messages that no target takes, with their status; None leaves them out.
+    unrouted_table: str | None = None
 
 
 def mongo_sink(url: str, database: str) -> dict[str, str]:
@@ -95,10 +98,13 @@ def batch_folder_writer(root: str, fmt: str = "parquet") -> TableWriter:
 
 
 def route_batch(
-    write: TableWriter, targets: dict[str, str] | None = None, preview: bool = False
+    write: TableWriter, targets: dict[str, str] | None = None, preview: bool = False,
+    unrouted_table: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """foreachBatch callback: each record type to its table.
 
+    With `unrouted_table` the batch has `status` and `value` (see parse_with_status), and every
+    message that no record type takes is written there, so the tables add up to the input.
     The parsed batch is kept for the writes, so the source is read and parsed once per batch. It
     may spill to disk, and is rebuilt from the batch's offsets if an executor is lost.
     """
@@ -109,6 +115,9 @@ def route_batch(
         try:
             for kind, rows in split(batch).items():
                 write(rows, tables.get(kind, DEFAULT_TARGET), batch_id)
+            if unrouted_table:
+                taken = F.coalesce(F.col("Type").isin(*split(batch)), F.lit(False))
+                write(batch.filter(~taken).select("status", "value"), unrouted_table, batch_id)
             if preview:
                 batch.show()
         finally:
@@ -128,7 +137,10 @@ def start_routing(
     records: DataFrame, options: StreamOptions, write: TableWriter | None = None
 ) -> StreamingQuery:
     """Start the split of typed streaming records; the caller awaits the query."""
-    callback = route_batch(write or append_writer(options), options.targets, options.preview)
+    if options.print_schema:
+        records.printSchema()
+    callback = route_batch(
+        write or append_writer(options), options.targets, options.preview, options.unrouted_table)
     stream = (
         records.writeStream.queryName(options.name)
         .foreachBatch(callback)
@@ -147,5 +159,5 @@ def start_job(
     messages = read_messages(
         spark, options.topic, options.source_format, options.servers,
         options.starting_offsets, options.max_per_trigger, **options.source_options)
-    return start_routing(
-        parse_envelope(messages, author_alias=options.author_alias), options, write)
+    parse = parse_with_status if options.unrouted_table else parse_envelope
+    return start_routing(parse(messages, author_alias=options.author_alias), options, write)
