@@ -34,16 +34,16 @@ GRAMS = [("aa", 1, "h", 1), ("aa", 2, "hu", 1), ("bb", 1, "h", 9), ("bb", 2, "do
 
 
 def test_known_words_come_first_then_the_longest_known_grams():
-    model = langid.Model(WORDS, GRAMS)
-    assert model.predict("DER der!", {})[0] == "aa"
-    assert model.predict("the", {})[0] == "bb"
+    model = langid.Predictor(langid.Model(WORDS, GRAMS))
+    assert model.predict("DER der!")[0] == "aa"
+    assert model.predict("the")[0] == "bb"
     # unseen words: "hu" is known with two letters, "h" alone would say the other language
-    assert model.predict("hux", {})[0] == "aa"
-    assert model.predict("xh", {})[0] == "bb"
-    assert model.predict("qqq", {}) == ("aa", 0.5)
+    assert model.predict("hux")[0] == "aa"
+    assert model.predict("xh")[0] == "bb"
+    assert model.predict("qqq") == ("aa", 0.5)
     for text in (None, "", " 123 ?! ²", "_"):
-        assert model.predict(text, {}) == ("und", 0.0)
-    assert model.predict("漢", {})[0] == "aa"  # a letter, though unknown
+        assert model.predict(text) == ("und", 0.0)
+    assert model.predict("漢")[0] == "aa"  # a letter, though unknown
 
 
 def test_gram_counts_match_a_direct_count(small):

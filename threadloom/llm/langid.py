@@ -11,8 +11,6 @@ from __future__ import annotations
 import math
 import re
 import uuid
-from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from threadloom.llm.memory import Memory
 from threadloom.llm.shared import cut
 
 UNDETERMINED = "und"
@@ -28,7 +27,8 @@ SAMPLE_DOCS, MAX_WORDS, MAX_GRAMS = 4_000, 20_000, 10_000
 MAX_N = 5
 FLOOR_COUNT = 0.5  # what a word or n-gram counts in a language that lacks it
 LETTERS = re.compile(r"[^\W\d_]+")
-CACHE_WORDS, CACHE_CHARS = 200_000, 64
+# Words whose scores a worker remembers, twice over, and the longest such word: about 150 MB.
+CACHE_WORDS, CACHE_CHARS = 350_000, 32
 PREDICTION_SCHEMA = "lang_pred string, score double"
 
 
@@ -87,52 +87,59 @@ class Model:
             self._table((lang, g, n) for lang, s, g, n in grams if s == size)
             for size in range(1, MAX_N + 1)]
 
-    def _table(self, rows) -> dict[str, np.ndarray]:
+    def _table(self, rows) -> tuple[dict[str, int], np.ndarray]:
+        """Row number of each key, and the rows: log frequencies by language, then 1."""
         place = {lang: i for i, lang in enumerate(self.langs)}
         counts: dict[str, np.ndarray] = {}
         for lang, key, n in rows:
             counts.setdefault(key, np.full(len(place), FLOOR_COUNT))[place[lang]] = n
-        if not counts:
-            return {}
-        logs = np.array(list(counts.values()))
+        logs = np.array(list(counts.values())).reshape(-1, len(place))
         logs = np.log(logs / logs.sum(axis=0))
-        return dict(zip(counts, logs, strict=True))
+        full = np.concatenate([logs, np.ones((len(logs), 1))], axis=1).astype(np.float32)
+        return {key: i for i, key in enumerate(counts)}, full
 
     def word(self, word: str) -> np.ndarray | None:
-        """Scores of a word by language, or null if not even a letter of it is known."""
-        known = self.tables[0].get(word)
-        if known is not None:
-            return known
+        """Scores of a word by language, then 1; null if not even a letter of it is known."""
+        rows, logs = self.tables[0]
+        if word in rows:
+            return logs[rows[word]]
         marked = f" {word} "
         for size in range(MAX_N, 0, -1):
-            table = self.tables[size]
-            hits = [table[g] for i in range(len(marked) - size + 1)
-                    if (g := marked[i:i + size]) in table]
+            rows, logs = self.tables[size]
+            hits = [row for i in range(len(marked) - size + 1)
+                    if (row := rows.get(marked[i:i + size])) is not None]
             if hits:
-                return np.mean(hits, axis=0)
+                return np.add.reduce(logs.take(hits, axis=0)) / np.float32(len(hits))
         return None
 
-    def predict(self, text: str | None, cache: dict) -> tuple[str, float]:
+
+class Predictor:
+    """Predictions by a model; a word is scored once, and remembered."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.known = Memory(self._score, CACHE_WORDS, CACHE_CHARS)
+
+    def _score(self, words: list[str]) -> list[bytes]:
+        """Per word: its scores by language, then 1; all 0 for a word of no known letter."""
+        nothing = np.zeros(len(self.model.langs) + 1, np.float32).tobytes()
+        scores = map(self.model.word, words)
+        return [nothing if s is None else s.tobytes() for s in scores]
+
+    def predict(self, text: str | None) -> tuple[str, float]:
         """Language and its share of the likelihoods per word, sharpened by the words' number."""
         found = LETTERS.findall((text or "").lower())
-        if not any(map(str.isalpha, found)) or not self.langs:
+        langs = self.model.langs
+        if not langs or not any(map(str.isalpha, found)):
             return UNDETERMINED, 0.0
-        total, n = np.zeros(len(self.langs)), 0
-        for word, times in Counter(found).items():
-            scores = cache.get(word, cache)
-            if scores is cache:
-                scores = self.word(word)
-                if len(word) <= CACHE_CHARS:
-                    if len(cache) >= CACHE_WORDS:
-                        cache.clear()
-                    cache[word] = scores
-            if scores is not None:
-                total += times * scores
-                n += times
+        known = self.known.of(set(found))
+        rows = np.frombuffer(b"".join(map(known.__getitem__, found)), np.float32)
+        *total, n = rows.reshape(-1, len(langs) + 1).sum(axis=0, dtype=np.float64)
         if not n:
-            return self.langs[0], 1.0 / len(self.langs)
+            return langs[0], 1.0 / len(langs)
         best = int(np.argmax(total))  # ties: the first language in order
-        return self.langs[best], 1.0 / float(np.exp((total - total[best]) / math.sqrt(n)).sum())
+        rest = (np.array(total) - total[best]) / math.sqrt(n)
+        return langs[best], 1.0 / float(np.exp(rest).sum())
 
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
@@ -144,10 +151,15 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
                  [tuple(r) for r in grams.select("lang", "size", "gram", "n").collect()])
 
 
-@lru_cache(maxsize=1)
-def _cache(key: str) -> dict:
-    """Words scored by one model in this worker process."""
-    return {}
+_predictors: dict[str, Predictor] = {}
+
+
+def _predictor(key: str, model: Model) -> Predictor:
+    """The predictor of one model in this worker process, which keeps no other."""
+    if key not in _predictors:
+        _predictors.clear()
+        _predictors[key] = Predictor(model)
+    return _predictors[key]
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -163,8 +175,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            cache = _cache(key)
-            rows = [shared.value.predict(t.as_py(), cache) for t in batch.column("text")]
+            predictor = _predictor(key, shared.value)
+            rows = [predictor.predict(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([r[0] for r in rows], pa.string()),
                  pa.array([r[1] for r in rows], pa.float64())],
