@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from threadloom.llm.shared import cut, without
 
 BITS, HALF, QUARTER = 64, 32, 16
-RADIUS = 3
+# Words of a shingle, and bits in which linked fingerprints may differ.
+WORDS, RADIUS = 3, 3
 SEED = 42
 # Up to so many fingerprints under a key are compared by a join; more are divided further, and at
 # last compared in tiles of TILE, each giving the links of a spanning forest instead of all pairs.
@@ -59,7 +60,7 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 5) -> DataFrame:
+def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """`doc_id` and `fp` of every (doc_id, text); a text without words has fingerprint 0."""
     def run(batches):
         for batch in batches:
@@ -84,8 +85,9 @@ def ball(value: Column, width: int, both: bool = False) -> Column:
     return F.concat(F.array(value), flips)
 
 
-def tagged(value: Column, tag: int, width: int) -> Column:
-    return value.bitwiseOR(F.lit(tag << width))
+def tagged(values: Column, tag: int, width: int) -> Column:
+    """Numbers of `width` bits, told apart from those of other tables by the bits above."""
+    return F.transform(values, lambda v: v.bitwiseOR(F.lit(tag << width)))
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -102,9 +104,9 @@ def links(nodes: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
         raise ValueError("two halves and balls of radius 1 hold for a radius of at most 3")
     halves = [part_of(F.col("fp"), at, HALF) for at in (0, HALF)]
     stored = nodes.select("fp", F.explode(F.array(
-        *[tagged(h, i, HALF) for i, h in enumerate(halves)])).alias("key"))
+        *[h.bitwiseOR(F.lit(i << HALF)) for i, h in enumerate(halves)])).alias("key"))
     asked = nodes.select("fp", F.explode(F.concat(
-        *[_tag_all(ball(h, HALF), i, HALF) for i, h in enumerate(halves)])).alias("key"))
+        *[tagged(ball(h, HALF), i, HALF) for i, h in enumerate(halves)])).alias("key"))
     counts = stored.groupBy("key").agg(F.count("*").alias("n"))
     few = stored.join(counts.where(F.col("n") <= hot), "key").drop("n")
     near = _verified(few, asked, radius)
@@ -123,10 +125,6 @@ def links(nodes: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
         stored2.join(dense, ["key", "sub"]), asked2.join(dense, ["key", "sub"]), radius))
 
 
-def _tag_all(values: Column, tag: int, width: int) -> Column:
-    return F.transform(values, lambda v: v.bitwiseOR(F.lit(tag << width)))
-
-
 def _verified(stored: DataFrame, asked: DataFrame, radius: int, key=("key",)) -> DataFrame:
     """Pairs under one key within the radius; at most as many per asking row as a key holds."""
     key = list(key)
@@ -143,7 +141,7 @@ def _divide(rows: DataFrame, ask: bool) -> DataFrame:
     subs = []
     for i, at in enumerate((0, QUARTER)):
         value = part_of(other, at, QUARTER)
-        subs.append(_tag_all(ball(value, QUARTER, both=True) if ask else F.array(value),
+        subs.append(tagged(ball(value, QUARTER, both=True) if ask else F.array(value),
                              i, QUARTER))
     return rows.select("key", "fp", F.explode(F.concat(*subs)).alias("sub"))
 
@@ -217,7 +215,7 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, radius: int = RADIUS) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """Per row of `docs`: doc_id, fp and component_id, the least doc_id connected to it.
 
     Documents are connected if their fingerprints differ in at most `radius` bits. Equal
@@ -234,7 +232,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, radius: int = RADIUS) -> Da
     return prints.join(member, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = 5, radius: int = RADIUS) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """`docs` without near duplicates: the row of the least doc_id of each component stays.
 
     Rows that repeat a kept doc_id all stay, as do rows without doc_id, of which no copy can be
