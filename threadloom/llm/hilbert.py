@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.shared import global_rank
+from threadloom.llm.shared import cut, global_rank
 
 LAW = "rows"
 
@@ -124,14 +124,15 @@ def document_shards(docs: DataFrame) -> DataFrame:
     """Shards 0 to 15 of documents by size, language and source; see `shard_rows`.
 
     A null text has no bytes and no checksum of its own (the checksum of the empty text). Rows
-    of null or repeated doc_id are placed like any other.
+    of null or repeated doc_id are placed like any other. Texts are read once, for what is known
+    of them; the quantiles and the order go over that.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    narrow = docs.select(
+    narrow = cut(docs.select(
         F.col("doc_id"),
         (F.octet_length(text) + 1).cast("bigint").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.col("lang"), F.col("source"))
+        F.col("lang"), F.col("source")))
     sharded = shard_rows(narrow, ["size", "lang", "source"], ["text_crc32", "doc_id"])
     return sharded.select(
         "doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard",
