@@ -66,10 +66,11 @@ def test_few_rows_are_searched_whole(small):
 
 def test_rows_that_take_no_part_and_repeats(small):
     nan, inf = float("nan"), float("inf")
-    bad = [(100, None), (200, [0.0, 0.0, 0.0]), (7, [nan, 1, 1]), (8, [1, inf, 1]), (9, []),
-           (10, [1.0, 2.0]), (11, [None, 1.0, 1.0]), (None, [1.0, 1.0, 1.0]), (300, [-inf, 0, 0])]
-    good = [(0, [1.0, 0, 0]), (1, [1.0, 0, 0]), (1, [1.0, 0, 0]), (400, [0, 1.0, 0]),
-            (400, [0, 0.5, 0]), (3, [0, 0, 2.0])]
+    bad = [(100, None), (200, [0.0, 0.0, 0.0]), (7, [nan, 1.0, 1.0]), (8, [1.0, inf, 1.0]),
+           (9, []), (10, [1.0, 2.0]), (11, [None, 1.0, 1.0]), (None, [1.0, 1.0, 1.0]),
+           (300, [-inf, 0.0, 0.0])]
+    good = [(0, [1.0, 0.0, 0.0]), (1, [1.0, 0.0, 0.0]), (1, [1.0, 0.0, 0.0]),
+            (400, [0.0, 1.0, 0.0]), (400, [0.0, 0.5, 0.0]), (3, [0.0, 0.0, 2.0])]
     table = small([(i, v, 0) for i, v in bad + good], ROWS).withColumns(
         {"vector": F.lit(1), "part": F.lit("x")})
     check(good, ann.neighbours(table).collect(), 1.0)
