@@ -30,8 +30,8 @@ ROWS_PER_BATCH = 256
 END_ID = 1
 MANIFEST_SCHEMA = "part int, file string, n_docs bigint, n_tokens bigint"
 DOC_SCHEMA = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
-# Words whose ids a worker remembers, twice over, and the longest such word in bytes: about 250 MB.
-CACHE_WORDS, CACHE_BYTES = 700_000, 32
+# Words whose ids a worker remembers, twice over, and the longest such word in bytes: about 220 MB.
+CACHE_WORDS, CACHE_BYTES = 600_000, 32
 
 
 class WordEncoder:

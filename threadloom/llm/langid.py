@@ -27,8 +27,8 @@ SAMPLE_DOCS, MAX_WORDS, MAX_GRAMS = 4_000, 20_000, 10_000
 MAX_N = 5
 FLOOR_COUNT = 0.5  # what a word or n-gram counts in a language that lacks it
 LETTERS = re.compile(r"[^\W\d_]+")
-# Words whose scores a worker remembers, twice over, and the longest such word: about 150 MB.
-CACHE_WORDS, CACHE_CHARS = 350_000, 32
+# Words whose scores a worker remembers, twice over, and the longest such word: about 40 MB.
+CACHE_WORDS, CACHE_CHARS = 100_000, 32
 PREDICTION_SCHEMA = "lang_pred string, score double"
 
 
@@ -93,7 +93,7 @@ class Model:
         counts: dict[str, np.ndarray] = {}
         for lang, key, n in rows:
             counts.setdefault(key, np.full(len(place), FLOOR_COUNT))[place[lang]] = n
-        logs = np.array(list(counts.values())).reshape(-1, len(place))
+        logs = np.array(list(counts.values())).reshape(len(counts), len(place))
         logs = np.log(logs / logs.sum(axis=0))
         full = np.concatenate([logs, np.ones((len(logs), 1))], axis=1).astype(np.float32)
         return {key: i for i, key in enumerate(counts)}, full
@@ -163,13 +163,13 @@ def _predictor(key: str, model: Model) -> Predictor:
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """`docs` with lang_pred and score, from `text` alone; other columns are carried.
+    """The columns of `docs` but `text`, with lang_pred and score, which come from `text` alone.
 
     A null text, or one without a letter, is `und` with score 0. A text none of whose letters the
     model knows gets the first language, with an even score. Columns of these two names are
     replaced. Without learned languages every text is `und`.
     """
-    docs = docs.drop("lang_pred", "score")
+    kept = [c for c in docs.columns if c not in ("text", "lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     key = uuid.uuid4().hex
 
@@ -178,12 +178,13 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             predictor = _predictor(key, shared.value)
             rows = [predictor.predict(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([r[0] for r in rows], pa.string()),
+                [*(batch.column(c) for c in kept), pa.array([r[0] for r in rows], pa.string()),
                  pa.array([r[1] for r in rows], pa.float64())],
-                [*batch.schema.names, "lang_pred", "score"])
+                [*kept, "lang_pred", "score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{fields}, {PREDICTION_SCHEMA}")
+    fields = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in kept)
+    return docs.select(*kept, "text").mapInArrow(run, f"{fields}, {PREDICTION_SCHEMA}")
 
 
 def language_of(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:

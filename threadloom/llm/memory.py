@@ -9,15 +9,26 @@ class Memory:
     """Results by key, in two generations of at most `most` keys.
 
     When the newer one is full it becomes the older one, and a key found there comes back, so
-    common keys stay. Keys longer than `longest` are forgotten at the next call.
+    common keys stay. Keys longer than `longest` are forgotten at the next call. A process serves
+    one stage after the other, so only the memory in use is filled: using one empties the one used
+    before it.
     """
 
+    in_use: Memory | None = None
+
     def __init__(self, work: Callable[[list], Iterable], most: int, longest: int):
         self.work, self.most, self.longest = work, most, longest
         self.new, self.old, self.passing = {}, {}, []
 
+    def forget(self) -> None:
+        self.new, self.old, self.passing = {}, {}, []
+
     def of(self, keys: set) -> dict:
         """A dict that holds at least `keys`, right until the next call."""
+        if Memory.in_use is not self:
+            if Memory.in_use is not None:
+                Memory.in_use.forget()
+            Memory.in_use = self
         for key in self.passing:
             del self.new[key]
         self.passing = []

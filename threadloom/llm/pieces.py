@@ -23,8 +23,8 @@ from threadloom.llm.memory import Memory
 SPACE = "▁"  # fixed value: the library's visible blank
 # Piece kinds of the model format.
 UNKNOWN, CONTROL, USER_DEFINED, BYTE = 2, 3, 4, 6
-# Chunks whose ids a worker remembers, twice over, and the longest such chunk: about 200 MB.
-CACHE_CHUNKS, CACHE_CHARS = 500_000, 32
+# Chunks whose ids a worker remembers, twice over, and the longest such chunk: about 50 MB.
+CACHE_CHUNKS, CACHE_CHARS = 120_000, 32
 DIGEST_SCHEMA = (
     "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, span_bytes bigint")
 PIECE_SCHEMA = "doc_id bigint, ids array<int>, begins array<int>, ends array<int>"
