@@ -66,6 +66,7 @@ def test_stages_take_edge_rows_and_no_rows(spark, edge_docs, no_docs):
     for name in ("language", "near_duplicates", "decontamination"):
         out = STAGES[name](spark, docs, SF)
         assert out.columns == docs.columns and out.count() <= docs.count()
+        assert {r.row_ for r in out.collect()} == {2}
         assert STAGES[name](spark, no_docs, SF).count() == 0
     assert STAGES["tokens"](spark, docs, SF).count() == docs.count()
     assert STAGES["tokens"](spark, no_docs, SF).count() == 0
