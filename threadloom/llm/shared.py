@@ -28,6 +28,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def unused_name(docs: DataFrame) -> str:
+    name = "row_"
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def without(rows: DataFrame, keys: DataFrame, key: str,
             max_broadcast: int = MAX_BROADCAST_KEYS) -> DataFrame:
     """Rows whose `key` is not among `keys`; rows with a null key stay.
