@@ -165,3 +165,24 @@ def test_templates_do_not_depend_on_the_tasks(spark, small):
         return sorted((k[0], k[1], k[3]) for k in json.loads(row.template)[5])
 
     assert counts(one) == counts(many)
+
+
+def test_names_below_any_depth_are_judged(small):
+    deep = "<div>" * 120
+    rows = [page(i, deep + f"<p>Text {i}</p><div class=cookie-notice>Ok {i}?</div>")
+            for i in range(4)]
+    assert lines(wrapper.main_text(small(rows, PAGES))) == {i: f"Text {i}" for i in range(4)}
+
+
+def test_a_notice_behind_many_layouts_is_template(small):
+    rows = [page(i, "".join(f"<div class='l{chr(97 + i)}{chr(97 + j)}'><p>Part {i} {j}</p></div>"
+                            for j in range(20)) + "<div class=z><p>All rights reserved</p></div>")
+            for i in range(12)]
+    got = lines(wrapper.main_text(small(rows, PAGES)))
+    assert got == {i: "\n".join(f"Part {i} {j}" for j in range(20)) for i in range(12)}
+
+
+def test_page_specific_classes_do_not_hide_the_template(small):
+    rows = [page(i, f"<body class='single-{chr(97 + i)}'><div class='wrap-{chr(97 + i)}'><p>Text "
+                    f"{i}</p><div class=z>The Daily</div></div></body>") for i in range(4)]
+    assert lines(wrapper.main_text(small(rows, PAGES))) == {i: f"Text {i}" for i in range(4)}

@@ -28,9 +28,9 @@ HOLDS = frozenset("ul ol menu dir dl table select div section article body".spli
 CONTAINERS = frozenset("div section article aside main ul ol table form".split())
 NO_P = BLOCK - {"html", "head", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption",
                 "option", "optgroup", "legend", "button"}
-# Like containers side by side that are nodes of their own, children after which all like ones are
-# one node, and open elements after which further ones add to the last.
-LIKE, WIDE, DEEP = 6, 64, 80
+# Like containers side by side that are nodes of their own, and children after which all like ones
+# are one node.
+LIKE, WIDE = 6, 64
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -129,9 +129,6 @@ class Page:
         if name == "hr":
             return
         parent = self.open[-1]
-        if len(self.open) > DEEP:
-            self.open.append([name, parent[1], parent[2]])
-            return
         parent[2] = self._child(parent[1].kids, parent[2], label(name, attributes), name)
         self.open.append([name, parent[1].kids[parent[2]], -1])
 

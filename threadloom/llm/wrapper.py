@@ -1,11 +1,10 @@
 """Main text of pages by wrappers induced per host.
 
-The layout trees of a host's pages are aligned by simple tree matching and merged, node by node,
-into one template: first per task, then in salted groups, then per host, so a host of any size is
-merged in parts. A node whose text is the same wherever it occurs belongs to the template; nodes
-whose text varies are slots. Slots that are menus, adverts, forms, comments and the like by name, or
-that are mostly links over the host's pages, are no content. Each page is then aligned with its
-host's template, and the text blocks of its content slots are its main text.
+Every page's layout tree gives, for each node, its place (the element names on the way to it) and
+the digest of its text. Spark counts the pages of a host per place and digest, without a cap; a text
+that many of the host's pages share at one place belongs to the template, and all else is content.
+Menus, adverts, forms, comments and the like by name, and what is mostly links over the host's pages
+outside main content, are no content. Trees are compared by simple tree matching in `matching`.
 """
 
 from __future__ import annotations
@@ -13,9 +12,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections import defaultdict
 
 import pyarrow as pa
-from pyspark import TaskContext
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,15 +23,12 @@ from threadloom.llm.dom import Node, Page
 from threadloom.llm.shared import cut
 from threadloom.llm.urls import url_host
 
-# A node is template text if it is the same on at least so many pages of a host.
-MIN_PAGES = 5
+# A text is template if so many pages of a host, and this share of them, have it at one place.
+MIN_PAGES, SHARE = 5, 1.0
 LINK_SHARE = 0.6
-SALTS = 16
-# Templates a task holds before it passes them on, and bytes of wrappers that may be broadcast.
-HELD_HOSTS, MAX_BROADCAST_BYTES = 5_000, 64 << 20
-# Children of a template's node; of more, those on the most pages are kept. What a page has beside
-# them is judged by its names alone.
-MAX_KIDS = 64
+# Counts a task holds before it passes them on, wrappers a worker holds, and bytes of wrappers that
+# may be broadcast.
+HELD_COUNTS, HELD_HOSTS, MAX_BROADCAST_BYTES = 100_000, 5_000, 64 << 20
 # Element names, and words of classes, ids and roles, of parts that are no content.
 OUT_NAMES = frozenset(
     "head nav header footer aside form button select menu dialog search fieldset option".split())
@@ -45,22 +42,19 @@ OUT_WORDS = frozenset(
 MAIN = frozenset(("article", "main", "r:main", "r:article"))
 
 
+def name_is_out(label: str, within_main: bool) -> bool:
+    name = label.split(" ", 1)[0]
+    return name in OUT_NAMES and not (within_main and name == "header")
+
+
 def label_is_out(label: str, within_main: bool) -> bool:
-    name, *words = label.split(" ")
-    if name in OUT_NAMES and not (within_main and name == "header"):
+    if name_is_out(label, within_main):
         return True
-    found = {part for w in words for part in re.split(r"[-_:]+", w[2:])}
+    found = {part for x in label.split(" ")[1:] for part in re.split(r"[-_:]+", x[2:])}
     return not (found & {"main", "content"}) and bool(
         found & OUT_WORDS - ({"header"} if within_main else set()))
 
 
-# --- templates: [label, pages, digest ("" if it varies, null without text), chars, linked, kids]
-
-def template_of(node: Node) -> list:
-    digest = hashlib.md5("\n".join(node.texts).encode()).hexdigest()[:16] if node.texts else None
-    return [node.label, 1, digest, node.chars, node.linked, [template_of(k) for k in node.kids]]
-
-
 def _label(node) -> str:
     return node.label if isinstance(node, Node) else node[0]
 
@@ -110,145 +104,167 @@ def align(left: list, right: list) -> list[tuple[int | None, int | None]]:
     return pairs[::-1]
 
 
-def merge(a: list, b: list) -> list:
-    """One template for the pages of two, whose roots have one label."""
-    digest = b[2] if a[2] is None else a[2] if b[2] is None or a[2] == b[2] else ""
-    kids = [
-        a[5][i] if j is None else b[5][j] if i is None else merge(a[5][i], b[5][j])
-        for i, j in align(a[5], b[5])]
-    if len(kids) > MAX_KIDS:
-        least = sorted((k[1] for k in kids), reverse=True)[MAX_KIDS // 2]
-        kids = [k for k in kids if k[1] > least] or kids[:MAX_KIDS // 2]
-    return [a[0], a[1] + b[1], digest, a[3] + b[3], a[4] + b[4], kids]
-
-
-def wrapper_of(template: list, min_pages: int = MIN_PAGES) -> list:
-    """The template as [label, role, kids]; role 0 is no content, 1 content, 2 main content."""
-    slots = []
-
-    def role(node: list, out: bool, main: bool) -> list:
-        inner = main or bool(MAIN & set(node[0].split(" ")))
-        out = out or label_is_out(node[0], main)
-        heading = re.match(r"h\d\b", node[0]) is not None
-        menu = not heading and node[3] > 0 and node[4] >= LINK_SHARE * node[3]
-        mine = [node[0], 0 if out or menu else 2 if inner else 1, None]
-        if mine[1] and node[2] is not None:
-            same = node[2] != "" and node[1] >= min_pages
-            slots.append((mine, same, heading and inner))
-        mine[2] = [role(k, out, inner) for k in node[5]]
-        return mine
-
-    wrapper = role(template, False, False)
-    # Where nothing varies, the pages are copies, and what is constant may be their content. An
-    # article keeps its title in any case.
-    if not all(same for _, same, _ in slots):
-        for mine, same, title in slots:
-            if same and not title:
-                mine[1] = 0
-    return wrapper
-
-
-def extract(page: Page, wrapper: list | None) -> str:
-    """The page's content blocks, one a line; main content alone if there is any."""
-    roles: dict[int, int] = {}
-
-    def follow(node: Node, known: list | None, out: bool, main: bool) -> None:
-        inner = main or bool(MAIN & set(node.label.split(" ")))
-        out = out or label_is_out(node.label, main)
-        roles[id(node)] = 0 if out else known[1] if known else 2 if inner else 1
-        pairs = (align_wrapper(node.kids, known[2]) if known
-                 else [(i, None) for i in range(len(node.kids))])
-        for i, j in pairs:
-            if i is not None:
-                follow(node.kids[i], known[2][j] if j is not None else None, out, inner)
-
-    follow(page.root, wrapper, False, False)
-    for least in (2, 1):
-        found = [text for text, node in page.blocks if roles[id(node)] >= least]
-        if found:
-            return "\n".join(found)
-    return ""
-
-
-def align_wrapper(kids: list[Node], known: list) -> list[tuple[int | None, int | None]]:
-    """Alignment of a page's children with a wrapper's, whose nodes have kids in place 2."""
-    return align(kids, [_Known(k) for k in known])
-
-
-class _Known(Node):
-    """A wrapper's node in the form that the matching reads."""
-
-    __slots__ = ()
-
-    def __init__(self, node: list):
-        super().__init__(node[0])
-        self.kids = [_Known(k) for k in node[2]]
-
-
-# --- Spark ------------------------------------------------------------------------------------
+# --- places ----------------------------------------------------------------------------------
+
+class Part:
+    """A node of a page with what its host is asked about it."""
+
+    __slots__ = ("node", "up", "text_place", "link_place", "digest", "main", "is_main", "heading")
+
+    def __init__(self, node: Node, up: Part | None, nth: int):
+        name, *words = node.label.split(" ")
+        self.node, self.up = node, up
+        self.is_main = name in MAIN or bool(MAIN & set(words))
+        self.main = self.is_main or (up is not None and up.main)
+        self.heading = re.fullmatch(r"h\d", name) is not None
+        # classes of pages as a whole often name the page
+        alike = name if name in ("html", "body", "main", "article") else node.label
+        self.text_place = xxhash.xxh64_hexdigest(f"{up.text_place if up else ''}/{name}")
+        self.link_place = xxhash.xxh64_hexdigest(f"{up.link_place if up else ''}/{alike} {nth}")
+        self.digest = (hashlib.md5("\n".join(node.texts).encode()).hexdigest()[:16]
+                       if node.texts else None)
+
+
+def parts_of(page: Page) -> list[Part]:
+    """All nodes, those above before those below."""
+    parts = [Part(page.root, None, 0)]
+    for part in parts:
+        seen: dict[str, int] = defaultdict(int)
+        for kid in part.node.kids:
+            parts.append(Part(kid, part, seen[kid.label]))
+            seen[kid.label] += 1
+    return parts
+
+
+def wrapper_of(template: list) -> tuple[dict[str, bool], set[tuple[str, str]]]:
+    """Places that are menus or not, and (place, digest) of the host's template texts."""
+    menus, texts = {}, set()
+    for place, _, digest, chars, linked in template[5]:
+        if digest:
+            texts.add((place, digest))
+        else:
+            menus[place] = linked >= LINK_SHARE * chars
+    return menus, texts
 
-TEMPLATE_SCHEMA = "host string, salt int, place bigint, template string"
 
+def extract(page: Page, wrapper: tuple | None) -> str:
+    """The page's content blocks, one a line; main content alone if there is any.
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * 4
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(
-            columns, (pa.string(), pa.int32(), pa.int64(), pa.string()), strict=True)],
-        ["host", "salt", "place", "template"])
+    If a page's main content, titles aside, is all template, the page is a copy and keeps it; a page
+    that would end up empty is judged by element names alone.
+    """
+    menus, texts = wrapper or ({}, set())
+    parts = parts_of(page)
+    # nodes above all main content
+    above: dict[int, int] = defaultdict(int)
+    mains = 0
+    for part in parts:
+        if part.is_main and not (part.up and part.up.main):
+            mains += 1
+            up = part.up
+            while up is not None:
+                above[id(up.node)] += 1
+                up = up.up
+    outs: dict[int, bool] = {}
+    named: dict[int, bool] = {}
+    by_node: dict[int, Part] = {}
+    for part in parts:
+        node, up = part.node, part.up
+        key, within = id(node), up is not None and up.main
+        by_node[key] = part
+        named[key] = (up is not None and named[id(up.node)]) or name_is_out(node.label, within)
+        holds_all = mains > 0 and above.get(key, 0) == mains
+        outs[key] = (up is not None and outs[id(up.node)]) or (
+            name_is_out(node.label, within) if holds_all else label_is_out(node.label, within))
+
+    def is_menu(part: Part) -> bool:
+        node = part.node
+        if part.heading or not node.chars:
+            return False
+        own = node.linked >= LINK_SHARE * node.chars
+        return own and menus.get(part.link_place, own)
+
+    def is_template(part: Part) -> bool:
+        return (part.text_place, part.digest) in texts
+
+    content = [p for p in parts if p.digest and not outs[id(p.node)] and not is_menu(p)]
+    for some in ([p for p in content if p.main], content):
+        # a title of main content stays in any case
+        titles = [p for p in some if p.heading and p.main]
+        own = [p for p in some if not is_template(p)]
+        if all(p.heading and p.main for p in own):
+            own = some
+        chosen = {id(p.node) for p in (*own, *titles)}
+        if chosen:
+            return "\n".join(t for t, node in page.blocks if id(node) in chosen)
+    return "\n".join(t for t, node in page.blocks if not named[id(node)])
 
 
-def page_templates(pages: DataFrame) -> DataFrame:
-    """Merged templates of (host, html), one per host and task (or `HELD_HOSTS` hosts of a task)."""
-    def run(batches):
-        held: dict[str, list] = {}
-        task = TaskContext.get().partitionId()
+# --- Spark ------------------------------------------------------------------------------------
 
-        def rows():
-            return [(h, task % SALTS, task, json.dumps(t)) for h, t in held.items()]
+COUNT_SCHEMA = "host string, place string, digest string, pages bigint, chars bigint, linked bigint"
 
-        for batch in batches:
-            for host, html in zip(batch.column("host").to_pylist(), batch.column("html"),
-                                  strict=True):
-                tree = template_of(Page(html.as_py()).root)
-                held[host] = merge(held[host], tree) if host in held else tree
-            if len(held) > HELD_HOSTS:
-                yield _batch(rows())
-                held.clear()
-        yield _batch(rows())
 
-    return pages.select("host", "html").mapInArrow(run, TEMPLATE_SCHEMA)
+def _batch(held: dict[tuple, list[int]]) -> pa.RecordBatch:
+    rows = [(*key, *sums) for key, sums in held.items()]
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 6
+    types = [pa.string()] * 3 + [pa.int64()] * 3
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+        ["host", "place", "digest", "pages", "chars", "linked"])
 
 
-def merge_runs(templates: DataFrame, salted: bool) -> DataFrame:
-    """Templates merged over each host (and salt), whose rows follow each other in a task."""
-    keys = ["host", "salt"] if salted else ["host"]
+def place_counts(pages: DataFrame) -> DataFrame:
+    """Pages of (host, html) per host, place and digest; digest "" holds the sums of links.
 
+    Place "" counts the host's pages.
+    """
     def run(batches):
-        key = row = None
+        held: dict[tuple, list[int]] = defaultdict(lambda: [0, 0, 0])
         for batch in batches:
-            done = []
-            for host, salt, place, template in zip(
-                    *(batch.column(c).to_pylist() for c in ("host", "salt", "place", "template")),
-                    strict=True):
-                tree = json.loads(template)
-                if (host, salt if salted else 0) == key:
-                    row = (*row[:3], merge(row[3], tree))
-                    continue
-                if row is not None:
-                    done.append((*row[:3], json.dumps(row[3])))
-                key, row = (host, salt if salted else 0), (host, salt, place, tree)
-            yield _batch(done)
-        if row is not None:
-            yield _batch([(*row[:3], json.dumps(row[3]))])
-
-    return templates.repartition(*keys).sortWithinPartitions(*keys, "salt", "place").mapInArrow(
-        run, TEMPLATE_SCHEMA)
+            for host, html in zip(batch.column("host").to_pylist(), batch.column("html"),
+                                  strict=True):
+                found = {(host, "", ""): (0, 0)}
+                for part in parts_of(Page(html.as_py())):
+                    if part.digest:
+                        found[host, part.text_place, part.digest] = (0, 0)
+                        found[host, part.link_place, ""] = (part.node.chars, part.node.linked)
+                for key, (chars, linked) in found.items():
+                    sums = held[key]
+                    sums[0] += 1
+                    sums[1] += chars
+                    sums[2] += linked
+                if len(held) > HELD_COUNTS:
+                    yield _batch(held)
+                    held.clear()
+        yield _batch(held)
+
+    return pages.select("host", "html").mapInArrow(run, COUNT_SCHEMA).groupBy(
+        "host", "place", "digest").agg(
+        *[F.sum(c).alias(c) for c in ("pages", "chars", "linked")])
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """(host, template) of (host, html), every page counted; merged in the order of the tasks."""
-    return merge_runs(merge_runs(page_templates(pages), True), False).select("host", "template")
+    """(host, template) of (host, html), every page counted.
+
+    A template is ["#", pages, "", 0, 0, places], a place [place, pages, digest, chars, linked]. As
+    each is on a share of the host's pages, there are not many more of them than a page has nodes.
+    """
+    counts = cut(place_counts(pages).where(
+        (F.col("place") == "") | (F.col("pages") >= F.when(F.col("digest") == "", 2)
+                                  .otherwise(MIN_PAGES))))
+    total = counts.where("place = ''").select("host", F.col("pages").alias("total"))
+    places = counts.where("place <> ''").join(total, "host").where(
+        F.col("pages") >= SHARE * F.col("total"))
+    entry = F.concat(
+        F.lit('["'), "place", F.lit('",'), F.col("pages").cast("string"), F.lit(',"'), "digest",
+        F.lit('",'), F.col("chars").cast("string"), F.lit(","), F.col("linked").cast("string"),
+        F.lit("]"))
+    return places.groupBy("host").agg(
+        F.first("total").alias("total"),
+        F.array_join(F.array_sort(F.collect_list(entry)), ",").alias("places")).select(
+        "host", F.concat(F.lit('["#",'), F.col("total").cast("string"), F.lit(',"",0,0,['),
+                         "places", F.lit("]]")).alias("template"))
 
 
 def main_text(pages: DataFrame, max_broadcast: int = MAX_BROADCAST_BYTES) -> DataFrame:
@@ -266,7 +282,7 @@ def main_text(pages: DataFrame, max_broadcast: int = MAX_BROADCAST_BYTES) -> Dat
         templates = F.broadcast(templates)
 
     def run(batches):
-        wrappers: dict[str, list] = {}
+        wrappers: dict[str, tuple | None] = {}
         for batch in batches:
             out = []
             for host, html, template in zip(
