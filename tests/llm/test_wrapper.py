@@ -167,6 +167,29 @@ def test_templates_do_not_depend_on_the_tasks(spark, small):
     assert counts(one) == counts(many)
 
 
+def story(i, outer="{}"):
+    return outer.format(f"<div class=x><p>Story {i} goes on.</p></div>")
+
+
+@pytest.mark.parametrize("outer", [
+    "<body class='has-sidebar'>{}</body>", "<body class='no-sidebar comments-open'>{}</body>",
+    "<div class='overflow-hidden'>{}</div>", "<article class='elementor-widget'>{}</article>",
+    "<article class=related>{}</article>", "<div class='header-fixed'>{}</div>",
+    "<div class='sidebar wrap'><main>{}</main></div>", "<div class=popup>{}</div>",
+])
+def test_class_words_do_not_remove_the_page(small, outer):
+    got = lines(wrapper.main_text(small([page(i, story(i, outer)) for i in range(4)], PAGES)))
+    assert got == {i: f"Story {i} goes on." for i in range(4)}
+
+
+def test_articles_of_links_stay(small):
+    rows = [page(i, "<main><article><h1>Round-up</h1>" + "".join(
+        f"<p><a href=/{i}/{j}>Piece {i} {j}</a></p>" for j in range(3)) + "</article></main>")
+        for i in range(6)]
+    got = lines(wrapper.main_text(small(rows, PAGES)))
+    assert got[2] == "Round-up\nPiece 2 0\nPiece 2 1\nPiece 2 2"
+
+
 def test_names_below_any_depth_are_judged(small):
     deep = "<div>" * 120
     rows = [page(i, deep + f"<p>Text {i}</p><div class=cookie-notice>Ok {i}?</div>")

@@ -40,6 +40,24 @@ OUT_WORDS = frozenset(
     "comment comments commentlist disqus reply replies respond responses widget toolbar pagination "
     "pager search complementary contentinfo tooltip hidden".split())
 MAIN = frozenset(("article", "main", "r:main", "r:article"))
+# Elements that class words never judge; what may stand before an out word in one class or id, and
+# what after it tells of a state, not of the part itself.
+WHOLE = frozenset(("#", "html", "body", "main", "article"))
+BEFORE = frozenset("site page main top bottom global primary secondary post entry".split())
+STATES = frozenset(
+    "fixed open opened closed on off active enabled disabled visible sticky layout xs sm md lg xl"
+    .split())
+
+
+def word_is_out(word: str, out_words: frozenset | set) -> bool:
+    """A class, id or role that is an out word, begins with one, or has one after a usual prefix."""
+    parts = [p for p in re.split(r"[-_:]+", word) if p]
+    if word in out_words:
+        return True
+    if len(parts) < 2 or parts[-1] in STATES:
+        return False
+    return parts[0] in out_words or (
+        len(parts) == 2 and parts[0] in BEFORE and parts[1] in out_words)
 
 
 def name_is_out(label: str, within_main: bool) -> bool:
@@ -50,9 +68,15 @@ def name_is_out(label: str, within_main: bool) -> bool:
 def label_is_out(label: str, within_main: bool) -> bool:
     if name_is_out(label, within_main):
         return True
-    found = {part for x in label.split(" ")[1:] for part in re.split(r"[-_:]+", x[2:])}
-    return not (found & {"main", "content"}) and bool(
-        found & OUT_WORDS - ({"header"} if within_main else set()))
+    name, *words = label.split(" ")
+    if name in WHOLE or MAIN & set(words):
+        return False
+    words = [w[2:] for w in words]
+    if any(part in ("main", "content") for w in words for part in re.split(r"[-_:]+", w)
+           ) and not any(w in OUT_WORDS for w in words):
+        return False
+    out_words = OUT_WORDS - ({"header"} if within_main else set())
+    return any(word_is_out(w, out_words) for w in words)
 
 
 def _label(node) -> str:
@@ -118,7 +142,7 @@ class Part:
         self.main = self.is_main or (up is not None and up.main)
         self.heading = re.fullmatch(r"h\d", name) is not None
         # classes of pages as a whole often name the page
-        alike = name if name in ("html", "body", "main", "article") else node.label
+        alike = name if name in WHOLE else node.label
         self.text_place = xxhash.xxh64_hexdigest(f"{up.text_place if up else ''}/{name}")
         self.link_place = xxhash.xxh64_hexdigest(f"{up.link_place if up else ''}/{alike} {nth}")
         self.digest = (hashlib.md5("\n".join(node.texts).encode()).hexdigest()[:16]
@@ -179,7 +203,7 @@ def extract(page: Page, wrapper: tuple | None) -> str:
 
     def is_menu(part: Part) -> bool:
         node = part.node
-        if part.heading or not node.chars:
+        if part.main or part.heading or not node.chars:
             return False
         own = node.linked >= LINK_SHARE * node.chars
         return own and menus.get(part.link_place, own)
@@ -228,7 +252,8 @@ def place_counts(pages: DataFrame) -> DataFrame:
                 for part in parts_of(Page(html.as_py())):
                     if part.digest:
                         found[host, part.text_place, part.digest] = (0, 0)
-                        found[host, part.link_place, ""] = (part.node.chars, part.node.linked)
+                        if not part.main:
+                            found[host, part.link_place, ""] = (part.node.chars, part.node.linked)
                 for key, (chars, linked) in found.items():
                     sums = held[key]
                     sums[0] += 1
