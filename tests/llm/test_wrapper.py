@@ -209,3 +209,19 @@ def test_page_specific_classes_do_not_hide_the_template(small):
     rows = [page(i, f"<body class='single-{chr(97 + i)}'><div class='wrap-{chr(97 + i)}'><p>Text "
                     f"{i}</p><div class=z>The Daily</div></div></body>") for i in range(4)]
     assert lines(wrapper.main_text(small(rows, PAGES))) == {i: f"Text {i}" for i in range(4)}
+
+
+def test_a_notice_is_template_though_some_pages_have_another(small):
+    rows = [page(i, f"<div class=a><p>Text {i}</p></div><div class=z>Made in "
+                    f"{2020 if i < 6 else 2021 if i < 11 else 1999}</div>") for i in range(12)]
+    got = lines(wrapper.main_text(small(rows, PAGES)))
+    assert got == {i: f"Text {i}" if i < 11 else "Text 11\nMade in 1999" for i in range(12)}
+    few = lines(wrapper.main_text(small(rows[:3], PAGES)))
+    assert few == {i: f"Text {i}" for i in range(3)}
+
+
+def test_copied_articles_among_others_stay(small):
+    rows = [page(i, f"<article><h1>T{max(i, 4)}</h1><p>Text {max(i, 4)}</p></article>")
+            for i in range(10)]
+    got = lines(wrapper.main_text(small(rows, PAGES)))
+    assert got == {i: f"T{max(i, 4)}\nText {max(i, 4)}" for i in range(10)}

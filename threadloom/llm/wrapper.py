@@ -24,7 +24,7 @@ from threadloom.llm.shared import cut
 from threadloom.llm.urls import url_host
 
 # A text is template if so many pages of a host, and this share of them, have it at one place.
-MIN_PAGES, SHARE = 5, 1.0
+MIN_PAGES, SHARE = 3, 0.25
 LINK_SHARE = 0.6
 # Counts a task holds before it passes them on, wrappers a worker holds, and bytes of wrappers that
 # may be broadcast.
