@@ -114,3 +114,14 @@ def test_index_keeps_what_can_match():
     assert decontam.spans(present, 3, 0).tolist() == [False] * 3 + [True] * 3 + [False] * 4
     assert decontam.spans(present, 4, 1).tolist() == [True, True, False, True, True, True] + [
         False] * 4
+
+
+def test_several_blocks_keep_rows_of_one_or_no_id(small, monkeypatch):
+    docs = small([(1, "a b c"), (1, "x d e f"), (1, "a b c"), (None, "d e f"), (None, "none"),
+                  (2, None)], PAIR)
+    items = small([(1, "a b c"), (2, "d e f")], ITEMS)
+    one = decontam.contamination(docs, items).collect()
+    monkeypatch.setattr(decontam.item_blocks, "__defaults__", (2,))
+    several = decontam.contamination(docs, items).collect()
+    assert len(several) == 6
+    assert sorted(map(str, several)) == sorted(map(str, one))

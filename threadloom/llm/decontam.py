@@ -14,7 +14,7 @@ The benchmark is a stated query set. Its windows reach the tasks in blocks of at
 from __future__ import annotations
 
 from functools import reduce
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -194,22 +194,27 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
     Items of fewer than `window` words are one window. Items without words, text or item_id take no
     part; items and windows may repeat. With an empty benchmark no word is hit. Every row of `docs`
-    gives one row, also where doc_id is null or repeated, unless the benchmark needs more than one
-    block: then rows of one doc_id are merged.
+    gives one row, also where doc_id is null or repeated, however many blocks the benchmark needs.
     """
+    blocks = item_blocks(benchmark, window)
+    first = next(blocks, None) or Windows([], window)
+    second = next(blocks, None)
+    if second is None:
+        index = build_index(docs, first, slop)
+        return find(cut(index) if first.items else index, first, slop)
+    # rows are told apart by id and text: those equal in both have equal hits
+    row = F.xxhash64("doc_id", "text")
+    keyed = docs.select(row.alias("doc_id"), "text")
     found = [
-        find(cut(build_index(docs, windows, slop)), windows, slop)
-        for windows in item_blocks(benchmark, window)
+        find(cut(build_index(keyed, windows, slop)), windows, slop)
+        for windows in chain((first, second), blocks)
     ]
-    if not found:
-        nothing = Windows([], window)
-        return find(build_index(docs, nothing, slop), nothing, slop)
-    if len(found) == 1:
-        return found[0]
-    return reduce(DataFrame.unionByName, found).groupBy("doc_id").agg(
+    merged = reduce(DataFrame.unionByName, found).groupBy(F.col("doc_id").alias("row_")).agg(
         F.max("n_words").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("positions")))).alias("positions"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        *[F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c)
+          for c in ("positions", "items")])
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row.alias("row_")).join(
+        merged, "row_").select("doc_id", "n_words", "positions", "items")
 
 
 def digest(found: DataFrame) -> DataFrame:
