@@ -76,3 +76,13 @@ def test_shards_prune_by_every_dimension(spark, tmp_path):
     hilbert.write_shards(sharded, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 4096 and back.where("shard = 3").count() == 256
+
+
+def test_texts_of_one_prefix_have_different_steps(small):
+    df = small([(f"common_crawl_{i:03}",) for i in range(64) for _ in range(2)] + [(None,)],
+               "source string")
+    (step,) = hilbert.quantise(df, ["source"], 3)
+    got = {r.source: r.s for r in df.select("source", step.alias("s")).collect()}
+    assert got.pop(None) == 0
+    assert [got[s] for s in sorted(got)] == sorted(got.values()) and set(got.values()) == set(
+        range(8))

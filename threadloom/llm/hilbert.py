@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from threadloom.llm.shared import cut, global_rank
 
@@ -70,19 +71,46 @@ def hilbert_index(steps: list[Column], bits: int) -> Column:
     return F.aggregate(F.lit(list(range(bits - 1, -1, -1))), start, level, lambda s: s["h"])
 
 
-def sort_value(column: str, dtype: str) -> Column:
-    """A number in the column's order: its value, or the first seven bytes of its text."""
-    if dtype == "string":
-        head = F.rpad(F.substring(F.hex(F.col(column)), 1, 14), 14, "0")
-        return F.conv(head, 16, 10).cast("bigint")
-    return F.col(column).cast("double" if dtype in ("float", "double") else "bigint")
+def text_cuts(df: DataFrame, column: str, at: list[float]) -> list[str]:
+    """Values at these shares of the rows in the order of a text column; whole texts compared.
+
+    Distinct values with their counts go to sorted ranges; only one sum per range meets in one task.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(
+        F.count("*").alias("n"))
+    ordered = cut(counts.repartitionByRange("value").sortWithinPartitions("value").withColumn(
+        "_part", F.spark_partition_id()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ordered.groupBy("_part").agg(F.sum("n").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("_part").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    total = ordered.agg(F.sum("n")).first()[0]
+    if not total:
+        return []
+    upto = ordered.withColumn("_upto", F.sum("n").over(within)).join(
+        F.broadcast(starts), "_part").withColumn("_upto", F.col("_upto") + F.col("_start"))
+    # the first value that reaches a share; those of equal value repeat, as other quantiles do
+    wanted = F.filter(F.lit([a * total for a in at]), lambda a: (
+        a <= F.col("_upto")) & (a > F.col("_upto") - F.col("n")))
+    found = upto.select("value", F.size(wanted).alias("times")).where("times > 0").collect()
+    return sorted((r["value"] for r in found for _ in range(r["times"])),
+                  key=lambda v: v.encode())
 
 
 def quantise(df: DataFrame, dims: list[str], bits: int) -> list[Column]:
     """Step of each dimension between its quantiles; nulls are step 0."""
-    values = {d: sort_value(d, dict(df.dtypes)[d]) for d in dims}
+    dtypes = dict(df.dtypes)
     at = [i / (1 << bits) for i in range(1, 1 << bits)]
-    cuts = df.agg(*[F.percentile_approx(values[d], at, 10_000).alias(d) for d in dims]).first()
+    values = {
+        d: F.col(d) if dtypes[d] == "string"
+        else F.col(d).cast("double" if dtypes[d] in ("float", "double") else "bigint")
+        for d in dims}
+    numbers = [d for d in dims if dtypes[d] != "string"]
+    cuts = {d: text_cuts(df, d, at) for d in dims if dtypes[d] == "string"}
+    if numbers:
+        cuts |= df.agg(*[F.percentile_approx(values[d], at, 10_000).alias(d) for d in numbers]
+                       ).first().asDict()
     return [steps_below(values[d], cuts[d]) if cuts[d] else F.lit(0) for d in dims]
 
 
