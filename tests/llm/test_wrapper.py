@@ -225,3 +225,11 @@ def test_copied_articles_among_others_stay(small):
             for i in range(10)]
     got = lines(wrapper.main_text(small(rows, PAGES)))
     assert got == {i: f"T{max(i, 4)}\nText {max(i, 4)}" for i in range(10)}
+
+
+def test_a_notice_behind_a_wide_layout_is_template(small):
+    wide = [f"{a}{b}" for a in "klmnopq" for b in "rstuvwxyz" + "b"]  # 70 parts
+    rows = [page(i, "".join(f"<div class={w}><p>Part {w} {i}</p></div>" for w in wide)
+                 + "<div class=z><p>All rights reserved</p></div>") for i in range(8)]
+    got = lines(wrapper.main_text(small(rows, PAGES)))
+    assert got == {i: "\n".join(f"Part {w} {i}" for w in wide) for i in range(8)}
