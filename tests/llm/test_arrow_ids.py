@@ -1,5 +1,6 @@
 import io
 import zlib
+from collections import Counter
 
 import __spark_entry__ as driver
 import numpy as np
@@ -104,3 +105,27 @@ def test_remembered_words_may_overflow(monkeypatch):
     code = arrow_ids.WordEncoder(PATH)
     for text in ("a b c d", "a b x y z", "one two three four five six seven", "a " + "q" * 200):
         assert [*code.encode(text).tolist(), 1] == whole(text)
+
+
+def test_a_tokenizer_that_sees_blanks_gets_whole_texts(spark, edge_docs, tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    code, library = arrow_ids.WordEncoder(path), Tokenizer.from_file(path)
+    assert not code.apart and arrow_ids.WordEncoder(PATH).apart
+    for text in ("two  blanks\n and", "", None, " a"):
+        assert code.encode(text).tolist() == library.encode(
+            text or "", add_special_tokens=False).ids
+    manifest = arrow_ids.write_sequences(edge_docs, path, str(tmp_path), length=64)
+    got = Counter(ids for _, _, ids, _ in rows(arrow_ids.document_digests(spark, manifest)))
+    assert got == Counter(
+        1 + len(library.encode(r.text or "", add_special_tokens=False).ids)
+        for r in edge_docs.collect())
+
+
+def test_slices_of_a_batch_do_not_change_ids(monkeypatch):
+    texts = ["one two", None, "", "  three\t\x0bfour ", "one" * 50, "two\u00a0three", "é\u0301 x"] * 9
+    want = [whole(t)[:-1] for t in texts]
+    for size in (1, 20, 1 << 20):
+        monkeypatch.setattr(arrow_ids, "SLICE", size)
+        code = arrow_ids.WordEncoder(PATH)
+        for part in (pa.array(texts), pa.array(["x", *texts, "y"]).slice(1, len(texts))):
+            assert [i.tolist() for i in code.encode_all(part)] == want

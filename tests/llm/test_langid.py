@@ -77,3 +77,11 @@ def test_edge_rows(edge_docs, no_docs):
     assert all(by[i].lang_pred == "und" and by[i].score == 0 for i in (2, 3, 4))
     assert by[None].held_out is False
     assert langid.language_of(no_docs).collect() == []
+
+
+def test_letters_are_told_one_by_one():
+    model = langid.Model(WORDS, [("aa", 1, "h", 5), ("bb", 1, "x", 5)])
+    for text in ("x\u00b2", "m\u00b2 \u00bd", "H\u2082O", "a_1"):
+        assert langid.Predictor(model).predict(text)[0] in ("aa", "bb"), text
+    for text in ("\u00b2", "\u2082 12 \u216b", "_", "\u0301"):
+        assert langid.Predictor(model).predict(text) == ("und", 0.0), text

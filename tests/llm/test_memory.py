@@ -1,4 +1,4 @@
-from threadloom.llm.memory import Memory
+from threadloom.llm.memory import Memory, keep_only
 
 
 def test_keys_are_worked_out_once_and_common_ones_stay():
@@ -15,9 +15,9 @@ def test_keys_are_worked_out_once_and_common_ones_stay():
     assert len(more) >= 20 and more["7"] == "7"
 
 
-def test_only_the_memory_in_use_is_filled():
-    one, two = (Memory(lambda keys: keys, 10, 10) for _ in range(2))
-    one.of({"a"})
-    two.of({"b"})
-    assert not one.new and two.new == {"b": "b"}
-    assert one.of({"c"}) == {"c": "c"}
+def test_a_process_keeps_one_model():
+    built = []
+    assert keep_only("a", lambda: built.append("a") or [1]) == [1]
+    assert keep_only("a", lambda: built.append("again")) == [1]
+    assert keep_only("no model") is None
+    assert keep_only("a", lambda: [2]) == [2] and built == ["a"]

@@ -10,19 +10,22 @@ complete, so a task that is run again leaves one whole file.
 
 from __future__ import annotations
 
+import json
+import os
 import zlib
-from functools import lru_cache
+from collections.abc import Iterator
 from urllib.parse import unquote, urlsplit
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from threadloom.llm.memory import Memory
+from threadloom.llm.memory import Memory, keep_only
 from threadloom.llm.shared import cut
 
 SEQUENCE = 2048
@@ -30,42 +33,92 @@ ROWS_PER_BATCH = 256
 END_ID = 1
 MANIFEST_SCHEMA = "part int, file string, n_docs bigint, n_tokens bigint"
 DOC_SCHEMA = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
-# Words whose ids a worker remembers, twice over, and the longest such word in bytes: about 220 MB.
-CACHE_WORDS, CACHE_BYTES = 600_000, 32
+# Words whose ids a worker remembers, twice over, and the longest such word: about 220 MB. Texts
+# are worked on in slices of about so many bytes.
+CACHE_WORDS, CACHE_CHARS, SLICE = 600_000, 32, 4 << 20
+# Steps of a tokenizer file that never look across ASCII white space, which is dropped.
+APART_RULES = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase"}
+APART_BLANKS = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+APART_CUTS = {"Whitespace", "WhitespaceSplit", "BertPreTokenizer"}
+APART_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def words_apart(tokenizer: str) -> bool:
+    """Whether a tokenizer, as its JSON says, gives a text the ids of its words one by one."""
+    def steps(part: dict | None, key: str) -> list[dict]:
+        return [] if part is None else part[key] if part["type"] == "Sequence" else [part]
+
+    spec = json.loads(tokenizer)
+    first, *_ = steps(spec["pre_tokenizer"], "pretokenizers") or [{"type": None}]
+    cuts = first["type"] in APART_CUTS or (
+        first["type"] == "Split" and first["invert"] and first["behavior"] == "Removed"
+        and first["pattern"] == {"Regex": APART_WORDS})
+    return cuts and spec["post_processor"] is None and all(
+        rule["type"] in APART_RULES or rule == APART_BLANKS
+        for rule in steps(spec["normalizer"], "normalizers")) and not any(
+        token["content"].split() != [token["content"]] for token in spec["added_tokens"])
 
 
 class WordEncoder:
-    """Ids of whole texts; a word's ids are worked out once.
+    """Ids of whole texts.
 
-    Right for tokenizers that never look across white space, as those that drop it do. Texts are
-    cut at ASCII white space only; other white space stays inside what the library gets.
+    Where the tokenizer never looks across white space, texts are cut there and numbered by
+    distinct word, and each distinct word is worked out once. Texts are cut at ASCII white space
+    only; other white space stays inside what the library gets. Other tokenizers get whole texts.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known = Memory(self._encode_words, CACHE_WORDS, CACHE_BYTES)
+        self.known = Memory(self._encode, CACHE_WORDS, CACHE_CHARS)
+        self.apart = words_apart(self.tokenizer.to_str())
 
-    def _encode_words(self, words: list[bytes]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in words], add_special_tokens=False)
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(c.ids, self.dtype).tobytes() for c in coded]
 
     def encode(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().split()
-        known = self.known.of(set(words))
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), self.dtype)
+        return next(self.encode_all(pa.array([text], pa.string())))
+
+    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text; a null one is empty."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy())
+        at = 0
+        while at < len(texts):
+            done = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, done + SLICE, side="right")))
+            yield from (self._by_word if self.apart else self._whole)(texts.slice(at, stop - at))
+            at = stop
+
+    def _whole(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        for ids in self._encode(texts.to_pylist()):
+            yield np.frombuffer(ids, self.dtype)
+
+    def _by_word(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        words = pc.ascii_split_whitespace(texts)
+        named = words.flatten().dictionary_encode()
+        distinct = named.dictionary.to_pylist()
+        known = self.known.of(set(distinct))
+        coded = list(map(known.__getitem__, distinct))
+        ids = np.frombuffer(b"".join(coded), self.dtype)
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // self.dtype.itemsize
+        starts = np.cumsum(sizes) - sizes
+        codes = named.indices.to_numpy()
+        n = sizes[codes]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        flat = ids[np.repeat(starts[codes] - ends[:-1], n) + np.arange(ends[-1])]
+        borders = ends[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
+            yield flat[a:b]
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
     """One encoder, and its remembered words, per worker process."""
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    return WordEncoder(path)
+    return keep_only(("words", path), lambda: WordEncoder(path))
 
 
 def store(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -148,13 +201,13 @@ def write_sequences(docs: DataFrame, tokenizer: str, folder: str, end_id: int =
         fs, path = store(folder)
         draft = f"{path}/_{name}.{context.taskAttemptId()}"
         for batch in batches:
-            for doc_id, text in zip(
-                    batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(),
+                                   code.encode_all(batch.column("text")), strict=True):
                 if writer is None:
                     fs.create_dir(path, recursive=True)
                     sink = fs.open_output_stream(draft)
                     writer = SequenceWriter(sink, code.dtype, length)
-                writer.add(doc_id, np.concatenate([code.encode(text.as_py()), end]))
+                writer.add(doc_id, np.concatenate([ids, end]))
         if writer is not None:
             writer.close()
             sink.close()

@@ -9,16 +9,16 @@ are scored, n from 5 down to 1. A text's language has the greatest mean score.
 from __future__ import annotations
 
 import math
-import re
 import uuid
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from threadloom.llm.memory import Memory
+from threadloom.llm.memory import Memory, keep_only
 from threadloom.llm.shared import cut
 
 UNDETERMINED = "und"
@@ -26,7 +26,8 @@ UNDETERMINED = "und"
 SAMPLE_DOCS, MAX_WORDS, MAX_GRAMS = 4_000, 20_000, 10_000
 MAX_N = 5
 FLOOR_COUNT = 0.5  # what a word or n-gram counts in a language that lacks it
-LETTERS = re.compile(r"[^\W\d_]+")
+# Letters alone, as Spark's \p{L} in training; a run may not hold digits such as those of "H₂O".
+LETTERS = regex.compile(r"\p{L}+")
 # Words whose scores a worker remembers, twice over, and the longest such word: about 40 MB.
 CACHE_WORDS, CACHE_CHARS = 100_000, 32
 PREDICTION_SCHEMA = "lang_pred string, score double"
@@ -130,7 +131,7 @@ class Predictor:
         """Language and its share of the likelihoods per word, sharpened by the words' number."""
         found = LETTERS.findall((text or "").lower())
         langs = self.model.langs
-        if not langs or not any(map(str.isalpha, found)):
+        if not langs or not found:
             return UNDETERMINED, 0.0
         known = self.known.of(set(found))
         rows = np.frombuffer(b"".join(map(known.__getitem__, found)), np.float32)
@@ -151,17 +152,6 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
                  [tuple(r) for r in grams.select("lang", "size", "gram", "n").collect()])
 
 
-_predictors: dict[str, Predictor] = {}
-
-
-def _predictor(key: str, model: Model) -> Predictor:
-    """The predictor of one model in this worker process, which keeps no other."""
-    if key not in _predictors:
-        _predictors.clear()
-        _predictors[key] = Predictor(model)
-    return _predictors[key]
-
-
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """The columns of `docs` but `text`, with lang_pred and score, which come from `text` alone.
 
@@ -175,7 +165,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            predictor = _predictor(key, shared.value)
+            predictor = keep_only(key, lambda: Predictor(shared.value))
             rows = [predictor.predict(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array([r[0] for r in rows], pa.string()),

@@ -12,13 +12,12 @@ import hashlib
 import re
 import struct
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from threadloom.llm.memory import Memory
+from threadloom.llm.memory import Memory, keep_only
 
 SPACE = "▁"  # fixed value: the library's visible blank
 # Piece kinds of the model format.
@@ -250,10 +249,9 @@ class PieceCodec:
         return out
 
 
-@lru_cache(maxsize=2)
 def codec(path: str) -> PieceCodec:
     """One codec, and its remembered chunks, per worker process."""
-    return PieceCodec(path)
+    return keep_only(("pieces", path), lambda: PieceCodec(path))
 
 
 def encode_documents(docs: DataFrame, model: str) -> DataFrame:

@@ -8,11 +8,6 @@ is met once. Whole distances are verified. A half that many fingerprints share i
 other half in the same way, into keys under which at most 2**16 fingerprints can stand.
 
 Links stay in Spark; components come from rounds of hooking every node to its least neighbour.
-
-Without a number of words, documents are near duplicates if their sets of five-word shingles have a
-Jaccard similarity of at least 0.8, which three bits do not reach. Candidates share one of 32 bands
-of four MinHash values (a pair of similarity 0.8 shares none with a probability of 5e-8), and each
-link is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -24,6 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.llm.memory import keep_only
 from threadloom.llm.shared import cut, unused_name, without
 
 BITS, HALF, QUARTER = 64, 32, 16
@@ -34,13 +30,6 @@ SEED = 42
 # last compared in tiles of TILE, each giving the links of a spanning forest instead of all pairs.
 HOT, TILE = 64, 2048
 MAX_ROUNDS = 60
-# The general rule: words of a shingle, least similarity (as a fraction), MinHash bands and values.
-SET_WORDS, SIMILAR = 5, (4, 5)
-BANDS, VALUES = 32, 4
-_MIX = np.random.default_rng(SEED).integers(
-    0, 1 << 64, (2, BANDS * VALUES, 1), np.uint64, endpoint=False) | np.uint64(1)
-# Shingles that are mixed, or passed to Spark, at a time.
-BLOCK, BATCH = 1024, 1 << 17
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -72,16 +61,20 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """`doc_id` and `fp` of every (doc_id, text); a text without words has fingerprint 0."""
+def fingerprints(docs: DataFrame, words: int = WORDS, keys: tuple[str, ...] = ("doc_id",)
+                 ) -> DataFrame:
+    """`keys` and `fp` of every row with a `text`; a text without words has fingerprint 0."""
     def run(batches):
+        keep_only("fingerprints")
         for batch in batches:
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").cast(pa.int64()),
+                *(batch.column(key) for key in keys),
                 pa.array([fingerprint(shingle_hashes(t.as_py(), words))
-                          for t in batch.column("text")], pa.int64())], ["doc_id", "fp"])
+                          for t in batch.column("text")], pa.int64())], [*keys, "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    fields = docs.select(*keys).schema.fields
+    return docs.select(*keys, "text").mapInArrow(
+        run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", fp bigint")
 
 
 def part_of(fp: Column, at: int, width: int) -> Column:
@@ -227,172 +220,51 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, words: int | None = None, radius: int = RADIUS) -> DataFrame:
+def groups(nodes: DataFrame, radius: int) -> DataFrame:
+    """`fp` and `root`, its group, of every row of `nodes` (distinct fingerprints)."""
+    roots = components(links(nodes.select("fp"), radius))
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left").drop("node").withColumn(
+        "root", F.coalesce("root", "fp"))
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """Per row of `docs`: doc_id, fp and component_id, the least doc_id connected to it.
 
-    With `words`, documents are connected if their fingerprints differ in at most `radius` bits;
-    without, if their shingle sets are similar, and fp is the digest of the set. Equal
+    Documents are connected if their fingerprints differ in at most `radius` bits. Equal
     fingerprints meet in one node before anything is compared. A null doc_id keeps its row and
     never names a component that has another id. An empty table gives no rows.
     """
-    if words is None:
-        member = similar_groups(docs.select("doc_id", "text"), F.xxhash64("doc_id", "text"))
-        named = member.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-        return member.join(named, "root").select(
-            "doc_id", F.col("node").alias("fp"), "component_id")
-    prints = cut(fingerprints(docs, words))
-    nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(nodes.select("fp"), radius))
-    named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "least")
+    prints = cut(fingerprints(docs.select(F.col("doc_id").cast("bigint"), "text"), words))
+    named = groups(cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least"))), radius)
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     member = cut(named.join(least, "root").select("fp", "component_id"))
     return prints.join(member, "fp").select("doc_id", "fp", "component_id")
 
 
-# --- the general rule -------------------------------------------------------------------------
-
-def shingle_set(text: str | None) -> np.ndarray:
-    return np.unique(shingle_hashes(text, SET_WORDS))
-
-
-def band_keys(found: np.ndarray) -> list[int]:
-    """One key for each band of the set's MinHash values; signed, none of an empty set."""
-    if not len(found):
-        return []
-    least = np.full(BANDS * VALUES, ~np.uint64(0))
-    for at in range(0, len(found), BLOCK):
-        mixed = (found[at:at + BLOCK] ^ _MIX[0]) * _MIX[1]
-        np.minimum(least, mixed.min(axis=1), out=least)
-    rows = least.astype("<u8").reshape(BANDS, VALUES)
-    keys = [xxhash.xxh64_intdigest(r.tobytes(), i) for i, r in enumerate(rows)]
-    return [k - (1 << 64) if k >> 63 else k for k in keys]
-
-
-def set_digest(found: np.ndarray) -> int:
-    d = xxhash.xxh64_intdigest(found.astype("<u8").tobytes(), SEED)
-    return d - (1 << 64) if d >> 63 else d
-
-
-def set_prints(rows: DataFrame) -> DataFrame:
-    """(doc_id, row_) with `node`, the digest of the shingle set, its size and its band keys."""
-    def run(batches):
-        for batch in batches:
-            nodes, sizes, keys = [], [], []
-            for text in batch.column("text"):
-                found = shingle_set(text.as_py())
-                nodes.append(set_digest(found))
-                sizes.append(len(found))
-                keys.append(band_keys(found))
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").cast(pa.int64()), batch.column("row_"),
-                pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
-                pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "row_", "node", "size", "keys"])
-
-    return rows.mapInArrow(
-        run, "doc_id bigint, row_ bigint, node bigint, size bigint, keys array<bigint>")
-
-
-def shingle_sets(rows: DataFrame) -> DataFrame:
-    """`node` and `hashes`, its shingle set, of (node, text)."""
-    def run(batches):
-        for batch in batches:
-            nodes, sets, held = [], [], 0
-            for node, text in zip(batch.column("node"), batch.column("text"), strict=True):
-                nodes.append(node.as_py())
-                sets.append(shingle_set(text.as_py()).view(np.int64))
-                held += len(sets[-1])
-                if held >= BATCH:
-                    yield _set_batch(nodes, sets)
-                    nodes, sets, held = [], [], 0
-            yield _set_batch(nodes, sets)
-
-    return rows.select("node", "text").mapInArrow(run, "node bigint, hashes array<bigint>")
-
-
-def _set_batch(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "hashes"])
-
-
-def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """`pairs` (a, b) with `both`, the shingles they share, and `any`, those of either."""
-    def side(name):
-        return sets.select(F.col("node").alias(name), F.col("hashes").alias(f"{name}_set"))
-
-    both = F.size(F.array_intersect("a_set", "b_set"))
-    return cut(
-        pairs.join(side("a"), "a").join(side("b"), "b")
-        .select("a", "b", both.alias("both"),
-                (F.size("a_set") + F.size("b_set") - both).alias("any")))
-
-
-def _alike(measured: DataFrame) -> DataFrame:
-    return measured.where(F.col("both") * SIMILAR[1] >= F.col("any") * SIMILAR[0]).select("a", "b")
-
-
-def similar_groups(docs: DataFrame, row: Column) -> DataFrame:
-    """(doc_id, row_, node, root) of every row: `row` names it, `root` its group.
-
-    Under each key all sets are first measured against the least. What that leaves in different
-    groups is compared pair by pair, except where the distances to the least (a metric) differ by
-    too much. A key whose sets are neither alike nor told apart costs the square of their number.
-    """
-    rows = docs.select("doc_id", row.alias("row_"), "text")
-    prints = cut(set_prints(rows))
-    nodes = prints.groupBy("node").agg(
-        F.min("row_").alias("row_"), F.first("size").alias("size"), F.first("keys").alias("keys"))
-    keyed = nodes.select("node", "size", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("n")).where(
-        F.col("n") > 1).drop("n")
-    keyed = cut(keyed.join(shared, "key"))
-    wanted = keyed.select("node").distinct().join(nodes.select("node", "row_"), "node")
-    texts = rows.join(wanted, "row_").select("node", "row_", "text")
-    sets = cut(shingle_sets(texts).dropDuplicates(["node"]))
-
-    first = _measured(keyed.where("least <> node").select(
-        F.col("least").alias("a"), F.col("node").alias("b")).distinct(), sets)
-    edges = _alike(first)
-    roots = components(edges)
-    named = keyed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = named.groupBy("key").agg(
-        F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    far = first.select(F.col("a").alias("least"), F.col("b").alias("node"),
-                       (1 - F.col("both") / F.col("any")).alias("far"))
-    left = cut(named.join(mixed, "key", "left_semi").join(far, ["least", "node"], "left")
-               .select("key", "node", "size", "root", F.coalesce("far", F.lit(0.0)).alias("far")))
-    x, y = left.alias("x"), left.alias("y")
-    most = 1 - SIMILAR[0] / SIMILAR[1] + 1e-9
-    again = x.join(y, "key").where(
-        (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
-        & (F.abs(F.col("x.far") - F.col("y.far")) <= most)
-        & (F.least("x.size", "y.size") * SIMILAR[1] >= F.greatest("x.size", "y.size") * SIMILAR[0])
-    ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    second = _alike(_measured(again, sets))
-    if second.take(1):
-        roots = components(edges.unionByName(second))
-    return prints.join(roots, "node", "left").select(
-        "doc_id", "row_", "node", F.coalesce("root", "node").alias("root"))
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """`docs` without near duplicates: the row of the least doc_id of each group stays.
 
     Rows are told apart by all their columns, so of rows that repeat a doc_id, or have none, one
     stays as well; a row without doc_id stays only where no row of its group has one.
     """
     key = unused_name(docs)
-    row = F.xxhash64(*docs.columns)
-    found = cut(similar_groups(docs, row))
+    # two digests: rows of one key are taken as equal, and one digest of 64 bits is not enough
+    row = F.struct(F.xxhash64(*docs.columns).alias("a"),
+                   F.xxhash64(F.lit(SEED), *docs.columns).alias("b"))
+    prints = cut(fingerprints(
+        docs.select("doc_id", F.col("text"), row["a"].alias("a"), row["b"].alias("b")),
+        words, ("doc_id", "a", "b")))
     # the least of a struct takes null first, so whether there is a doc_id comes before it
-    best = found.groupBy("root").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("none"), "doc_id", "row_")).alias("best"))
-    drop = found.join(best, "root").where(F.col("row_") != F.col("best.row_")).select(
-        F.col("row_").alias(key))
-    kept = without(docs.withColumn(key, row), drop, key)
+    named = groups(cut(prints.groupBy("fp").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "a", "b")).alias("best"))), radius)
+    best = named.join(named.groupBy("root").agg(F.min("best").alias("first")), "root").select(
+        "fp", F.struct("first.a", "first.b").alias("stays"))
+    found = prints.join(best, "fp").select(F.struct("a", "b").alias(key), "stays")
+    kept = without(docs.withColumn(key, row), found.where(F.col(key) != F.col("stays")).select(key),
+                   key)
     # equal rows: only those are shuffled
-    again = cut(found.groupBy("row_").agg(F.count("*").alias("n")).where("n > 1").select(
-        F.col("row_").alias(key)))
+    again = cut(prints.groupBy(F.struct("a", "b").alias(key)).agg(F.count("*").alias("n")).where(
+        "n > 1").select(key))
     if again.take(1):
         kept = without(kept, again, key).unionByName(
             kept.join(again, key, "left_semi").dropDuplicates([key]))
