@@ -36,9 +36,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the least doc_id.
 
-    Linked are documents whose five-word shingles have a Jaccard similarity of at least 0.8.
+    Linked are documents whose fingerprints of three-word shingles differ in three bits or fewer.
     """
-    return simhash.keep_one(docs)
+    return simhash.keep_one(docs, words=3, radius=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
