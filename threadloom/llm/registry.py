@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from threadloom.llm import (
-    ann, arrow_ids, decontam, hilbert, langid, pieces, simhash, urls, warc, wrapper)
+    ann, arrow_ids, decontam, hilbert, langid, ngram_join, pieces, simhash, urls, warc, wrapper)
 from threadloom.llm.oracle import ORACLE  # noqa: F401
 from threadloom.llm.shared import shared_folder, table
 
@@ -76,3 +76,8 @@ def op4_wrapper_text(spark, sf_dir):
 @query
 def op2_learned_partitions(spark, sf_dir):
     return ann.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_ngram_jaccard_join(spark, sf_dir):
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
