@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from threadloom.llm import (
-    ann, arrow_ids, decontam, hilbert, langid, ngram_join, pieces, simhash, urls, warc, wrapper)
+    aligning, ann, arrow_ids, decontam, hilbert, langid, ngram_join, pieces, simhash, urls, warc,
+    wrapper)
 from threadloom.llm.oracle import ORACLE  # noqa: F401
 from threadloom.llm.shared import shared_folder, table
 
@@ -81,3 +82,10 @@ def op2_learned_partitions(spark, sf_dir):
 @query
 def op11_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_tokenizer_alignment(spark, sf_dir):
+    return aligning.document_alignment(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"))
