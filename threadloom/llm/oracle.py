@@ -109,8 +109,33 @@ FROM (SELECT page_id, h, max(page_id) OVER (PARTITION BY h) AS last
       FROM (SELECT page_id, coalesce(html, '') AS h FROM pages))
 """
 
+_TERMS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')".format(
+    _ascii_lower("text"))
+
+_RANKED_SEARCH = f"""
+WITH docs AS (SELECT doc_id, {_TERMS} AS w FROM documents WHERE text IS NOT NULL),
+lengths AS (SELECT doc_id, len(w)::BIGINT AS n FROM docs WHERE len(w) > 0),
+corpus AS (SELECT count(*)::BIGINT AS all_docs, sum(n)::BIGINT AS all_terms FROM lengths),
+tfs AS (SELECT doc_id, term, count(*)::BIGINT AS tf
+        FROM (SELECT doc_id, unnest(w) AS term FROM docs) GROUP BY 1, 2),
+dfs AS (SELECT term, count(*)::BIGINT AS df FROM tfs GROUP BY 1),
+asked AS (SELECT DISTINCT item_id, term FROM (
+        SELECT item_id, unnest({_TERMS}) AS term FROM benchmark WHERE text IS NOT NULL)),
+scores AS (SELECT item_id, doc_id, sum(
+        floor(1000 * ln((2 * all_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT
+        * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * all_docs) // all_terms))))
+        )::BIGINT AS score
+        FROM asked JOIN dfs USING (term) JOIN tfs USING (term) JOIN lengths USING (doc_id), corpus
+        GROUP BY 1, 2),
+placed AS (SELECT item_id, doc_id, score,
+        row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place
+        FROM scores WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM placed WHERE place <= 50
+"""
+
 ORACLE = {
     "op3_url_models": _url_models(),
     "op7_benchmark_index": _BENCHMARK_INDEX,
     "op8_warc_revisits": _WARC_REVISITS,
+    "op12_best_position_search": _RANKED_SEARCH,
 }

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from threadloom.llm import (
-    aligning, ann, arrow_ids, decontam, hilbert, langid, ngram_join, pieces, simhash, urls, warc,
-    wrapper)
+    aligning, ann, arrow_ids, decontam, hilbert, langid, ngram_join, pieces, ranking, simhash,
+    urls, warc, wrapper)
 from threadloom.llm.oracle import ORACLE  # noqa: F401
 from threadloom.llm.shared import shared_folder, table
 
@@ -89,3 +89,8 @@ def op13_tokenizer_alignment(spark, sf_dir):
     return aligning.document_alignment(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op12_best_position_search(spark, sf_dir):
+    return ranking.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
