@@ -24,9 +24,16 @@ from pyspark.sql.types import (
 
 from threadloom.functions import html
 from threadloom.functions.html import ThreadReader
-from threadloom.functions.markup import attributes_of, tags_with
+from threadloom.functions.markup import (
+    attribute_value,
+    bound,
+    given_attributes,
+    tags_with,
+    with_attributes,
+)
 from threadloom.functions.scalars import iso_to_millis
 from threadloom.operators.threads import related_map
+from threadloom.session import materialize
 
 # The readers travel inside the task closure, so executors need no copy of this package.
 for _module in (html, sys.modules[__name__]):
@@ -75,6 +82,13 @@ def _per_page(
     return pages.select(*keys, "html").mapInArrow(run, out)
 
 
+_ELEMENT = ("fullname", "timestamp", "permalink", "promoted")
+
+
+def _element_tags() -> Column:
+    return tags_with("div", "data-fullname", F.coalesce("html", F.lit("")))
+
+
 def extract_listing_pages(
     pages: DataFrame, keys: tuple[str, ...] = ("board", "page_no")
 ) -> DataFrame:
@@ -82,29 +96,33 @@ def extract_listing_pages(
 
     An element is a div with the attribute `data-fullname`; empty attributes are null.
     """
-    names = ("fullname", "timestamp", "permalink", "promoted")
-
     def element(attributes: Column, pos: Column) -> Column:
-        values = attributes_of(attributes, *[f"data-{name}" for name in names])
-        return F.struct(pos.cast("int").alias("pos"), *[
-            value.alias(name) for name, value in zip(names, values, strict=True)])
+        return bound(given_attributes(attributes), lambda given: F.struct(
+            pos.cast("int").alias("pos"),
+            *[attribute_value(given, f"data-{name}").alias(name) for name in _ELEMENT]))
+
+    tags = pages.select(*keys, _element_tags().alias("_tags"))
+    last = F.try_element_at("_tags", F.lit(-1))
+    return tags.select(
+        *keys, F.transform("_tags", element).alias("rows"),
+        F.size("_tags").cast("bigint").alias("n_elements"),
+        attribute_value(given_attributes(last), "data-fullname").alias("cursor"))
+
 
-    found = pages.select(*keys, F.transform(
-        tags_with("div", "data-fullname", F.coalesce("html", F.lit(""))), element).alias("rows"))
-    return found.withColumns({
-        "n_elements": F.size("rows").cast("bigint"),
-        "cursor": F.try_element_at("rows", F.lit(-1))["fullname"],
-    })
+def _with_time(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("created_ms", F.col("timestamp").try_cast("bigint"))
 
 
 def listing_rows(listing_pages: DataFrame, keys: tuple[str, ...] = ("board", "page_no")) -> DataFrame:
     """One row per listing element, with its time as a number."""
-    return listing_pages.select(*keys, F.inline("rows")).withColumn(
-        "created_ms", F.col("timestamp").try_cast("bigint"))
+    return _with_time(listing_pages.select(*keys, F.inline("rows")))
 
 
 def extract_listing(pages: DataFrame, keys: tuple[str, ...] = ("board", "page_no")) -> DataFrame:
-    return listing_rows(extract_listing_pages(pages, keys), keys)
+    """As listing_rows of the pages; elements become rows before their attributes are read."""
+    tags = pages.select(*keys, F.posexplode(_element_tags()).alias("pos", "_tag"))
+    return _with_time(with_attributes(
+        tags, "_tag", {name: f"data-{name}" for name in _ELEMENT}))
 
 
 def _text(texts: list[str] | None) -> str | None:
@@ -154,9 +172,10 @@ def combine_parts(records: DataFrame, thread: tuple[str, ...], part: str) -> Dat
     """Records of threads whose pages come in several parts: one post for each thread.
 
     The post has the fields of its first part and the ids of all parts in their order. Comments
-    stay where they are. Posts and comments are two readings of `records`; a job that keeps what it
-    extracted should pass the stored table.
+    are not shuffled. Posts and comments are two readings of `records`, so these, which are small
+    beside the pages, are stored once in the shared checkpoint folder.
     """
+    records = materialize(records)
     posts = records.filter(F.col("Type") == "Post")
     of_part = F.struct(part, F.col("RelatedCommentId")["id"].alias("ids"))
     ids = F.flatten(F.transform(

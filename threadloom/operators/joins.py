@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType
 
+from threadloom.session import materialize
+
 SALTS = 32
 # A lookup side is broadcast only up to this many bytes, as `measured_bytes` counts them.
 MAX_BROADCAST_BYTES = 32 << 20
@@ -64,9 +66,10 @@ def lookup_join(
 ) -> DataFrame:
     """Join `big` with a lookup that is usually, but not provably, small.
 
-    The lookup is measured first. If it is broadcast, `big` is not shuffled; else hot keys are
-    spread. It is worked out again by the query, so it must give the same rows both times.
+    The lookup is worked out once, into the shared checkpoint folder, and its stored rows are
+    measured. If it is broadcast, `big` is not shuffled; else hot keys are spread.
     """
+    small = materialize(small)
     return bounded_join(big, small, on, how, measured_bytes(small) <= max_bytes)
 
 

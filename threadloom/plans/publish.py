@@ -17,6 +17,7 @@ from threadloom.operators.joins import (
 )
 from threadloom.operators.listing import select_by_plan
 from threadloom.operators.parse import encode_json, enrich
+from threadloom.session import materialize
 
 # Bits by which unwanted pages are told apart before they are read: 16 MB in all.
 URL_BITS = 1 << 27
@@ -29,9 +30,9 @@ def selected_threads(
     """(url, path, ranking) of every post the plan takes.
 
     `listing` is a table of listing pages (with html) or of rows extracted from them. Cut-offs and
-    selection each go over it, so a job that has many pages should store the rows and pass those.
+    selection each go over the rows, so pages are read once and their rows stored.
     """
-    rows = extract_listing(listing) if "html" in listing.columns else listing
+    rows = materialize(extract_listing(listing)) if "html" in listing.columns else listing
     chosen = select_by_plan(rows, plan, now, page_size)
     runs = lookup_join(chosen, plan.select("board", "path", "ranking"), "board")
     return runs.select(absolute_url(base_url, "permalink").alias("url"), "path", "ranking")
@@ -76,7 +77,7 @@ def publish_records(
     reader and the records are joined. `part` names the column that orders the pages of a thread,
     if it may have several.
     """
-    wanted = selected_threads(listing, plan, now, base_url, page_size)
+    wanted = materialize(selected_threads(listing, plan, now, base_url, page_size))
     keys = ("url", *([part] if part else []))
     if measured_bytes(wanted) <= max_broadcast:
         pages = thread_pages.join(F.broadcast(wanted), "url")
