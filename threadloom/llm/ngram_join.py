@@ -39,14 +39,15 @@ THIN = 3  # of the n-grams, one of so many is counted in the first pass
 # N-grams of a part of the count (about), and those that a task packs at a time.
 PART, SLICE = 1 << 20, 1 << 20
 # Rounds of leaders end when so many pairs per prefix n-gram are left, or after so many.
-PAIRS_A_ROW, MAX_ROUNDS = 8, 10
+PAIRS_A_ROW, MAX_ROUNDS = 2, 8
 SEED = 42
-CLASSES = 4  # of the suffix filter
-_LOW = (1 << 48) - 1
+CLASSES = 4  # of the suffix filter, 16 bits each in a long
+_LOW, _COUNTED = (1 << 48) - 1, (1 << 32) - 1
+_MANY = (1 << 16) - 1  # of a suffix class: so many or more
 PACKED = "part int, kind int, nodes binary, owners binary, tokens binary"
 SHARED = "a bigint, b bigint, n bigint, lacking bigint, tokens binary, counts binary"
 SETS = ("a bigint, b bigint, n bigint, tokens array<bigint>, "
-        "keys array<struct<key: bigint, pos: int, c: array<int>>>")
+        "keys array<struct<key: bigint, pos: int, behind: bigint>>")
 
 
 def needed(n: int) -> int:
@@ -109,13 +110,14 @@ def _unpack(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def packed(texts: DataFrame, words: int, parts: int, thin: int) -> DataFrame:
+def packed(texts: DataFrame, words: int, parts: int, thin: int, with_tokens: bool) -> DataFrame:
     """N-grams of `text` by part: first each one's count in a slice of texts, then its owners.
 
-    N-gram h is number h // parts, of which 48 bits are kept, in part h % parts. Kind 0 has distinct
-    numbers and counts, kind 1 numbers with the places of their owners among the row's classes, kind
-    2 classes, their sets' sizes, and how many of these n-grams are counted: with `thin` over 1, one
-    of so many.
+    N-gram h is number h // parts, of which 48 bits are kept, in part h % parts. It is counted by its
+    lower 32 bits, so a few n-grams share a count, which only moves them in the order. Kind 0 has
+    distinct counted numbers and counts, kind 1 numbers (counted ones without `with_tokens`) with
+    the places of their owners among the row's classes, kind 2 classes, their sets' sizes, and how many of
+    these n-grams are counted: with `thin` over 1, one of so many.
     """
     def rows_of(nodes: list, sets: list[np.ndarray]) -> Iterator[tuple]:
         ab = np.array(nodes, np.int64).reshape(-1, 2)
@@ -132,11 +134,12 @@ def packed(texts: DataFrame, words: int, parts: int, thin: int) -> DataFrame:
         borders = np.flatnonzero(np.diff(part)) + 1
         for p, values, own in zip(part[np.append(0, borders)] if len(part) else (),
                                   np.split(number, borders), np.split(owners, borders)):
-            distinct, counts = np.unique(values, return_counts=True)
+            distinct, counts = np.unique(values & np.uint64(_COUNTED), return_counts=True)
             yield int(p), 0, b"", counts.astype("<u4").tobytes() if counts.max() > 1 else b"", \
-                _pack(distinct)
+                distinct.astype("<u4").tobytes()
             held, place = np.unique(own, return_inverse=True)
-            yield int(p), 1, ab[held].tobytes(), place.astype("<u2").tobytes(), _pack(values)
+            yield int(p), 1, ab[held].tobytes(), place.astype("<u2").tobytes(), (
+                _pack(values) if with_tokens else (values & np.uint64(_COUNTED)).astype("<u4").tobytes())
 
     def batch_of(nodes, sets):
         columns = zip(*rows_of(nodes, sets), strict=True)
@@ -174,9 +177,11 @@ def shared_tokens(packed_rows: DataFrame, parts: int, with_tokens: bool) -> Data
     goes through their owners row by row, however many an n-gram has.
     """
     def owned(part: int, nodes: bytes, owners: bytes, tokens: bytes, known, counts) -> Iterator:
-        numbers, own = _unpack(tokens), np.frombuffer(owners, "<u2")
-        at = np.minimum(np.searchsorted(known, numbers), len(known) - 1)
-        hit = np.flatnonzero(known[at] == numbers) if len(known) else np.zeros(0, int)
+        own = np.frombuffer(owners, "<u2")
+        numbers = _unpack(tokens) if with_tokens else np.frombuffer(tokens, "<u4")
+        counted = (numbers & numbers.dtype.type(_COUNTED)).astype(np.uint32)
+        at = np.minimum(np.searchsorted(known, counted), len(known) - 1)
+        hit = np.flatnonzero(known[at] == counted) if len(known) else np.zeros(0, int)
         hit = hit[np.argsort(own[hit], kind="stable")]
         ab = np.frombuffer(nodes, np.int64).reshape(-1, 2).tolist()
         borders = np.flatnonzero(np.diff(own[hit])) + 1
@@ -193,7 +198,7 @@ def shared_tokens(packed_rows: DataFrame, parts: int, with_tokens: bool) -> Data
             yield a, b, n, m, None, None
 
     def merged(lists: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        numbers = [_unpack(t) for t, _ in lists]
+        numbers = [np.frombuffer(t, "<u4") for t, _ in lists]
         weights = [np.frombuffer(c, "<u4") if c else np.ones(len(v), np.uint32)
                    for v, (_, c) in zip(numbers, lists, strict=True)]
         distinct, inverse = np.unique(np.concatenate(numbers), return_inverse=True)
@@ -227,15 +232,15 @@ def shared_tokens(packed_rows: DataFrame, parts: int, with_tokens: bool) -> Data
                     rows += sizes(nodes, owners, tokens)
             yield out(rows)
 
-    return packed_rows.repartition(max(1, parts), "part").sortWithinPartitions(
+    return packed_rows.repartitionById(parts, "part").sortWithinPartitions(
         "part", "kind").mapInArrow(run, SHARED)
 
 
 def sets_of(shared: DataFrame) -> DataFrame:
     """Per class that can have a partner: size, shared n-grams rare first, and its prefix n-grams.
 
-    `pos` is a prefix n-gram's place among all of the set's, and `c` the number of shared ones after
-    it in each of a few hash classes.
+    `pos` is a prefix n-gram's place among all of the set's, and `behind` the number of shared ones
+    after it in each of four hash classes, 16 bits each.
     """
     gathered = shared.groupBy("a", "b").agg(
         F.max("n").alias("n"), F.collect_list(F.struct("tokens", "counts")).alias("found"))
@@ -252,7 +257,8 @@ def sets_of(shared: DataFrame) -> DataFrame:
         kinds = (tokens >> 8) % CLASSES
         after = np.stack([np.cumsum((kinds == k)[::-1])[::-1] for k in range(CLASSES)], axis=1)
         after = np.concatenate([after[1:], np.zeros((1, CLASSES), after.dtype)])
-        keys = [{"key": t, "pos": own + i, "c": after[i].tolist()}
+        after = np.minimum(after, _MANY).astype("<u2").view("<i8")[:, 0]
+        keys = [{"key": t, "pos": own + i, "behind": int(after[i])}
                 for i, t in enumerate(tokens[:max(0, prefix - own)].tolist())]
         return tokens, keys
 
@@ -266,8 +272,7 @@ def sets_of(shared: DataFrame) -> DataFrame:
                 if one is not None:
                     rows.append((a.as_py(), b.as_py(), n, *one))
             columns = zip(*rows, strict=True) if rows else [()] * 5
-            key = pa.struct([("key", pa.int64()), ("pos", pa.int32()),
-                             ("c", pa.list_(pa.int32()))])
+            key = pa.struct([("key", pa.int64()), ("pos", pa.int32()), ("behind", pa.int64())])
             types = pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(key)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)],
@@ -285,7 +290,11 @@ def _possible(x: str, y: str) -> Column:
 
     n, m = of(x, "n"), of(y, "n")
     least = F.ceil((n + m) * NUM / (NUM + DEN)).cast("bigint")
-    behind = sum((F.least(of(x, "c")[i], of(y, "c")[i]) for i in range(CLASSES)), F.lit(1))
+    behind = F.lit(1)
+    for shift in range(0, 64, 16):
+        both = F.least(*[F.shiftrightunsigned(of(side, "behind"), shift).bitwiseAND(F.lit(_MANY))
+                         for side in (x, y)])
+        behind += F.when(both == _MANY, F.least(n, m)).otherwise(both)
     return ((F.least(n, m) * DEN >= F.greatest(n, m) * NUM)
             & (F.least(n - of(x, "pos"), m - of(y, "pos")) >= least) & (behind >= least))
 
@@ -313,11 +322,18 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         F.col("root_a").alias("a"), F.col("root_b").alias("b"))
 
 
-def _merged(roots: DataFrame, found: DataFrame, column: str = "root") -> DataFrame:
-    """`roots` with each component's name after the (node, root) of `found`."""
-    found = found.select(F.col("node").alias(column), F.col("root").alias("_new"))
-    return roots.join(found, column, "left").withColumn(
-        column, F.coalesce("_new", column)).drop("_new")
+def _hooked(rows: DataFrame, new: DataFrame) -> DataFrame:
+    """`rows` with each root hooked to the least within two of the links `new` between roots.
+
+    That merges what a leader links; what longer paths link is merged in the end.
+    """
+    both = new.unionByName(new.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.groupBy("a").agg(F.min("b").alias("m")).select(
+        F.col("a").alias("b"), F.least("a", "m").alias("m"))
+    least = both.join(near, "b").groupBy("a").agg(F.min("m").alias("m")).select(
+        F.col("a").alias("root"), F.least("a", "m").alias("_new"))
+    return rows.join(least, "root", "left").withColumn(
+        "root", F.coalesce("_new", "root")).drop("_new")
 
 
 def set_components(sets: DataFrame, max_rounds: int = MAX_ROUNDS,
@@ -343,14 +359,14 @@ def set_components(sets: DataFrame, max_rounds: int = MAX_ROUNDS,
             pairs = _pairs(now, now, F.col("x.node") < F.col("y.node"))
         else:
             order = F.struct(F.xxhash64("node", F.lit(turn)).alias("_order"),
-                             "node", "n", "pos", "c", "root")
+                             "node", "n", "pos", "behind", "root")
             leaders = now.groupBy("key").agg(F.min(order).alias("lead")).select("key", "lead.*")
             pairs = _pairs(leaders, now, F.lit(True))
         new = cut(_links(cut(pairs), sets).distinct())
         edges = new if edges is None else edges.unionByName(new)
         if last:
             break
-        now = _merged(now, components(new))
+        now = _hooked(now, new)
     if edges is None:
         return sets.select("node", F.col("node").alias("root")).limit(0)
     return components(edges)
@@ -375,14 +391,14 @@ def similar_documents(docs: DataFrame, words: int = WORDS, thin: int = THIN,
     total = classes.agg(F.sum("n_words")).first()[0] or 0
     parts = max(1, -(-total // thin // part))
     sizes = cut(shared_tokens(
-        packed(texts_of(docs, classes.select("row.*")), words, parts, thin), parts, False
+        packed(texts_of(docs, classes.select("row.*")), words, parts, thin, False), parts, False
     ).groupBy("a", "b").agg(F.max("n").alias("n"), F.sum("lacking").alias("lacking")))
     # a set shares all but so many of its n-grams with a partner, and so of any part of them
     alone = F.col("n") - F.ceil(F.col("n") * NUM / DEN)
     left = cut(classes.join(sizes.where(F.col("lacking") <= alone), ["a", "b"]).select("row.*", "n"))
     parts = max(1, -(-(left.agg(F.sum("n")).first()[0] or 0) // part))
     sets = global_rank(sets_of(shared_tokens(
-        packed(texts_of(docs, left), words, parts, 1), parts, True)), "a", "b"
+        packed(texts_of(docs, left), words, parts, 1, True), parts, True)), "a", "b"
     ).withColumnRenamed("rank", "node").drop("total")
     roots = set_components(sets)
     linked = sets.select("a", "b", "node").join(roots, "node", "left").withColumn(
