@@ -9,6 +9,7 @@ from threadloom.streaming.router import (
     StreamOptions,
     TableWriter,
     batch_folder_writer,
+    committed_writer,
     mongo_sink,
     start_job,
 )
@@ -25,6 +26,10 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("-mu", "--mongo_url", help="write to a document database at this url")
     parser.add_argument("-md", "--mongo_database", help="its database")
     parser.add_argument("-od", "--output_dir", help="write retry-safe files below this folder")
+    parser.add_argument("-cb", "--committed", action="store_true",
+                        help="with --output_dir: batches appear whole, by a manifest written last")
+    parser.add_argument("-ow", "--once_within",
+                        help='drop repeats of an Id within this time, such as "10 minutes"')
     parser.add_argument("-of", "--output_format", default="parquet")
     parser.add_argument("-cp", "--checkpoint_path", required=True)
     parser.add_argument("-fcp", "--fresh_checkpoint", action="store_true",
@@ -41,6 +46,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
         parser.error("--kafka_server is required for kafka")
     if bool(args.mongo_url) == bool(args.output_dir):
         parser.error("give either --mongo_url or --output_dir")
+    if args.committed and not args.output_dir:
+        parser.error("--committed needs --output_dir")
     return args
 
 
@@ -60,6 +67,7 @@ def to_options(args: argparse.Namespace) -> StreamOptions:
         preview=args.preview,
         print_schema=args.print_schema,
         unrouted_table=args.unrouted_table,
+        once_within=args.once_within,
     )
 
 
@@ -68,7 +76,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(args.name)
     writer: TableWriter | None = None
     if args.output_dir:
-        writer = batch_folder_writer(args.output_dir, args.output_format)
+        make = committed_writer if args.committed else batch_folder_writer
+        writer = make(args.output_dir, args.output_format)
     start_job(spark, to_options(args), writer).awaitTermination()
 
 

@@ -15,6 +15,7 @@ from threadloom.operators.parse import parse_envelope, parse_with_status
 from threadloom.operators.route import split
 from threadloom.schema import DEFAULT_TARGET, TARGETS
 from threadloom.sources.messages import read_messages
+from threadloom.streaming.committed import CommittedWriter
 
 # Local property under which Spark tells the running streaming query's id, which is kept in the
 # checkpoint: the same after a restart, another one for a new checkpoint.
@@ -47,6 +48,8 @@ class StreamOptions:
     preview: bool = False
     print_schema: bool = False
     audit: bool = False
+    # Each Id once, if its repeats' times (CreatedAt) are within so much of each other.
+    once_within: str | None = None
     # Table for the messages that no target takes, with their status; None leaves them out.
     unrouted_table: str | None = None
 
@@ -97,6 +100,11 @@ def batch_folder_writer(root: str, fmt: str = "parquet") -> TableWriter:
     return write
 
 
+def committed_writer(root: str, fmt: str = "parquet") -> CommittedWriter:
+    """Files of any format whose batches appear in all tables at once, and once."""
+    return CommittedWriter(root, _run_id, fmt)
+
+
 def route_batch(
     write: TableWriter, targets: dict[str, str] | None = None, preview: bool = False,
     unrouted_table: str | None = None,
@@ -107,10 +115,14 @@ def route_batch(
     message that no record type takes is written there, so the tables add up to the input.
     The parsed batch is kept for the writes, so the source is read and parsed once per batch. It
     may spill to disk, and is rebuilt from the batch's offsets if an executor is lost.
+    A CommittedWriter is told when all tables are written.
     """
+    committed = write if isinstance(write, CommittedWriter) else None
     tables = TARGETS if targets is None else targets
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        if committed and not committed.begin(batch, batch_id):
+            return
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for kind, rows in split(batch).items():
@@ -118,6 +130,8 @@ def route_batch(
             if unrouted_table:
                 taken = F.coalesce(F.col("Type").isin(*split(batch)), F.lit(False))
                 write(batch.filter(~taken).select("status", "value"), unrouted_table, batch_id)
+            if committed:
+                committed.commit(batch, batch_id)
             if preview:
                 batch.show()
         finally:
@@ -126,6 +140,25 @@ def route_batch(
     return run
 
 
+def once(records: DataFrame, within: str) -> DataFrame:
+    """Streaming records without repeats of an Id; those without an Id or a time pass through.
+
+    The state holds the Ids of the time span `within`, by CreatedAt in milliseconds, and no more. A
+    record later than that behind the newest one is dropped and counted by `late_records`.
+    """
+    at = F.timestamp_millis(F.col("CreatedAt").try_cast("bigint"))
+    named = F.col("Id").isNotNull() & F.col("CreatedAt").try_cast("bigint").isNotNull()
+    first = records.filter(named).withColumn("_at", at).withWatermark(
+        "_at", within).dropDuplicatesWithinWatermark(["Id"]).drop("_at")
+    return first.unionByName(records.filter(~named))
+
+
+def late_records(query: StreamingQuery) -> int:
+    """Records that the query dropped as too late, over the batches that it still remembers."""
+    return sum(state["numRowsDroppedByWatermark"]
+               for progress in query.recentProgress for state in progress["stateOperators"])
+
+
 def checkpoint_path(options: StreamOptions) -> str:
     """The checkpoint to use. A fresh one is a new folder below it; nothing is deleted."""
     if options.fresh_checkpoint:
@@ -160,4 +193,7 @@ def start_job(
         spark, options.topic, options.source_format, options.servers,
         options.starting_offsets, options.max_per_trigger, **options.source_options)
     parse = parse_with_status if options.unrouted_table else parse_envelope
-    return start_routing(parse(messages, author_alias=options.author_alias), options, write)
+    records = parse(messages, author_alias=options.author_alias)
+    if options.once_within:
+        records = once(records, options.once_within)
+    return start_routing(records, options, write)
