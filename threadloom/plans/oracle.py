@@ -385,6 +385,12 @@ select doc_id, case when doc_id = id then 'xx' else lang end as lang,
   case when doc_id = id then 'archive' else source end as source, n_chars
 from documents, first_match""",
 
+    "doc_rewrite": f"""with first_match as (select min(doc_id) as id from documents where {_MATCH}),
+changed as (select doc_id, case when doc_id = id then 'xx' else lang end as lang,
+  case when doc_id = id then 'archive' else source end as source, n_chars
+  from documents, first_match)
+select * from changed where (source = 'src3' and lang = 'en') is distinct from true""",
+
     "doc_update_counts": f"""
 select least(count(*), 1) as matched, least(count(*), 1) as modified
 from documents where {_MATCH}""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,9 @@ from pyspark.sql import functions as F
 from threadloom.functions import scalars as fx
 from threadloom.operators import documents, extract, ledger, listing, parse, route, threads
 from threadloom.plans import publish, views
+from threadloom.session import ensure_checkpoint_dir
 from threadloom.sources import tables
+from threadloom.sources.collection import Collection
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -521,6 +524,17 @@ def doc_delete_many(spark, sf_dir):
         "doc_id", "lang", "source", "n_chars")
 
 
+@query
+def doc_rewrite(spark, sf_dir):
+    """The stored collection after one update and one delete, which rewrite few of its files."""
+    root = f"{ensure_checkpoint_dir(spark)}/collection-{uuid.uuid4().hex}"
+    stored = Collection(spark, root, ("doc_id", "lang", "source"))
+    stored.insert(_documents(spark, sf_dir).repartitionByRange(8, "source"))
+    stored.update_first(_DOC, _CHANGE, "doc_id")
+    stored.delete({"source": "src3", "lang": "en"})
+    return stored.read().select("doc_id", "lang", "source", "n_chars")
+
+
 @query
 def doc_delete_counts(spark, sf_dir):
     return documents.delete_count(_documents(spark, sf_dir), _DOC)

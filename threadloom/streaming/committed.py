@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 MANIFEST = "run_id string, batch_id bigint, table string, path string, schema string"
 
 
-def _files(spark: SparkSession, path: str):
+def hadoop_files(spark: SparkSession, path: str):
     """Hadoop path and its file system."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -44,7 +44,7 @@ class CommittedWriter:
     def begin(self, batch: DataFrame, batch_id: int) -> bool:
         """False if the batch is committed already and must not be written again."""
         self._written = []
-        place, files = _files(batch.sparkSession, self._manifest(self.run_id(batch), batch_id))
+        place, files = hadoop_files(batch.sparkSession, self._manifest(self.run_id(batch), batch_id))
         return not files.exists(place)
 
     def __call__(self, rows: DataFrame, table: str, batch_id: int) -> None:
@@ -57,8 +57,8 @@ class CommittedWriter:
     def commit(self, batch: DataFrame, batch_id: int) -> None:
         """Rename the manifest into place; an attempt that finds one there gives way to it."""
         target = self._manifest(self.run_id(batch), batch_id)
-        place, files = _files(batch.sparkSession, target)
-        draft, _ = _files(batch.sparkSession, f"{self.root}/_drafts/{uuid.uuid4().hex}")
+        place, files = hadoop_files(batch.sparkSession, target)
+        draft, _ = hadoop_files(batch.sparkSession, f"{self.root}/_drafts/{uuid.uuid4().hex}")
         files.mkdirs(place.getParent())
         out = files.create(draft, False)
         try:
@@ -72,7 +72,7 @@ class CommittedWriter:
 
 def committed_batches(spark: SparkSession, root: str) -> DataFrame:
     """A row per committed batch and table, with the folder of its rows."""
-    place, files = _files(spark, f"{root.rstrip('/')}/_commits")
+    place, files = hadoop_files(spark, f"{root.rstrip('/')}/_commits")
     if not files.exists(place):
         return spark.createDataFrame([], MANIFEST)
     return spark.read.schema(MANIFEST).json(place.toString())
