@@ -193,6 +193,21 @@ select c."Id", c."ParentCommentId", c."AuthorName", c."CreatedAt",
   p."AuthorName" as "ParentAuthorName", p."CreatedAt" as "ParentCreatedAt"
 from e c join e p on p."Id" = c."ParentCommentId" """,
 
+    "comment_depths": f"""with recursive {_E},
+up as (select distinct c."Id" as id, c."ParentCommentId" as parent, p."Id" as known
+  from e c left join e p on p."Id" = c."ParentCommentId" and p."Type" = 'Comment'
+  where c."Type" = 'Comment'),
+down as (select id, id as root, 0 as depth, parent from up where known is null
+  union all select up.id, down.root, down.depth + 1, up.parent
+  from up join down on up.known = down.id),
+pairs as (select id, id as above from up
+  union all select pairs.id, up.known from pairs join up on up.id = pairs.above
+  where up.known is not null),
+below as (select above, count(*) - 1 as n from pairs group by 1)
+select down.id as "Id", root as "RootId", depth::bigint as depth, n::bigint as n_below,
+  case when depth > 0 then 'reply' when parent is null then 'root' else 'lost parent' end as kind
+from down join below on above = down.id""",
+
     "listing_select": f"""with {_L}
 select board, fullname, created_ms, permalink from organic""",
 

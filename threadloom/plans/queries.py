@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions import scalars as fx
-from threadloom.operators import documents, extract, ledger, listing, parse, route, threads
+from threadloom.operators import documents, extract, forest, ledger, listing, parse, route, threads
 from threadloom.plans import publish, views
 from threadloom.session import ensure_checkpoint_dir
 from threadloom.sources import tables
@@ -177,6 +177,12 @@ def comment_with_parent(spark, sf_dir):
         replies.select("Id", "ParentCommentId", "AuthorName", "CreatedAt"))
 
 
+@query
+def comment_depths(spark, sf_dir):
+    _, replies = _thread_parts(spark, sf_dir)
+    return forest.forest(replies.select("Id", "ParentCommentId"))
+
+
 # --- listings --------------------------------------------------------------------------------
 
 _LISTED = ["board", "fullname", "created_ms"]
