@@ -73,9 +73,10 @@ def variants(seed, n, size, edits):
         yield " ".join(words)
 
 
-@pytest.mark.parametrize("thin, rounds, pairs", [(1, 0, 0), (3, 3, 0)])
-def test_families_of_near_copies_and_common_passages(spark, small, thin, rounds, pairs, monkeypatch):
-    monkeypatch.setattr(ngram_join.set_components, "__defaults__", (rounds, pairs))
+@pytest.mark.parametrize("thin, rounds, pairs, few", [(1, 0, 0, 2), (3, 3, 0, 8)])
+def test_families_of_near_copies_and_common_passages(spark, small, thin, rounds, pairs, few,
+                                                  monkeypatch):
+    monkeypatch.setattr(ngram_join.set_components, "__defaults__", (rounds, pairs, few))
     rng = random.Random(thin)
     passage = " ".join(f"p{i}" for i in range(40))
     texts = [t for k in range(4) for t in variants(k, 40, rng.choice((30, 80, 200)), 12)]

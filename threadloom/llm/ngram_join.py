@@ -16,6 +16,7 @@ n-grams are its own has no candidate at all. Three passes:
 Under an n-gram that many sets have in their prefix not all pairs are measured: in each round one
 leader per n-gram is measured against the sets that are not in its component yet. An n-gram whose sets
 are one component is done. What no leader took in is at last compared pair by pair, across components.
+Under an n-gram of few sets all pairs are compared at once.
 """
 
 from __future__ import annotations
@@ -39,7 +40,8 @@ THIN = 3  # of the n-grams, one of so many is counted in the first pass
 # N-grams of a part of the count (about), and those that a task packs at a time.
 PART, SLICE = 1 << 20, 1 << 20
 # Rounds of leaders end when so many pairs per prefix n-gram are left, or after so many.
-PAIRS_A_ROW, MAX_ROUNDS = 2, 8
+PAIRS_A_ROW, MAX_ROUNDS = 2, 5
+FEW = 32  # sets under an n-gram that are compared in pairs at once
 SEED = 42
 CLASSES = 4  # of the suffix filter, 16 bits each in a long
 _LOW, _COUNTED = (1 << 48) - 1, (1 << 32) - 1
@@ -322,8 +324,8 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         F.col("root_a").alias("a"), F.col("root_b").alias("b"))
 
 
-def _hooked(rows: DataFrame, new: DataFrame) -> DataFrame:
-    """`rows` with each root hooked to the least within two of the links `new` between roots.
+def _hooked(roots: DataFrame, new: DataFrame) -> DataFrame:
+    """`roots` (node, root) with each root hooked to the least within two of the links `new`.
 
     That merges what a leader links; what longer paths link is merged in the end.
     """
@@ -332,46 +334,63 @@ def _hooked(rows: DataFrame, new: DataFrame) -> DataFrame:
         F.col("a").alias("b"), F.least("a", "m").alias("m"))
     least = both.join(near, "b").groupBy("a").agg(F.min("m").alias("m")).select(
         F.col("a").alias("root"), F.least("a", "m").alias("_new"))
-    return rows.join(least, "root", "left").withColumn(
-        "root", F.coalesce("_new", "root")).drop("_new")
+    return roots.join(least, "root", "left").select("node", F.coalesce("_new", "root").alias("root"))
 
 
-def set_components(sets: DataFrame, max_rounds: int = MAX_ROUNDS,
-                   pairs_a_row: int = PAIRS_A_ROW) -> DataFrame:
-    """`node` and `root`, the least node of its component, for all `sets` that are not least."""
+def set_components(sets: DataFrame, max_rounds: int = MAX_ROUNDS, pairs_a_row: int = PAIRS_A_ROW,
+                   few: int = FEW) -> DataFrame:
+    """`node` and `root`, the least node of its component, for all `sets` that are not least.
+
+    Up to `few` sets under an n-gram are compared in pairs at once. The others are rounds of leaders;
+    rows stay dealt by n-gram, and only the small table of roots is renewed in each round.
+    """
+    bounded = sets.count() <= MAX_BROADCAST_KEYS
     keyed = sets.select("node", "n", F.inline("keys"))
-    several = keyed.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1").select("key")
-    keyed = cut(keyed.join(several, "key").withColumn("root", F.col("node")))
-    rows = keyed.count()
-    edges, now = None, keyed
+    held = keyed.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
+    keyed = cut(keyed.join(held, "key"))
+    roots = sets.select("node", F.col("node").alias("root"))
+
+    def rooted(rows: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(roots) if bounded else roots, "node")
+
+    pairs_of = F.col("x.node") < F.col("y.node")
+    small = keyed.where(F.col("sets") <= few).withColumn("root", F.col("node"))
+    edges = cut(_links(cut(_pairs(small, small, pairs_of)), sets).distinct())
+    roots = cut(_merged_roots(roots, edges))
+    live = cut(keyed.where(F.col("sets") > few).drop("sets"))
+    rows = live.count()
     for turn in range(max_rounds + 1):
-        per_root = now.groupBy("key", "root").agg(F.count("*").alias("k"))
-        per_key = per_root.groupBy("key").agg(
+        now = rooted(live)
+        per_key = now.groupBy("key", "root").agg(F.count("*").alias("k")).groupBy("key").agg(
             F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("same"))
         # an n-gram whose sets are all in one component is done
         left = cut(per_key.where("all * all > same"))
         pending = left.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()[0] or 0
         if not pending:
             break
-        now = cut(now.join(left.select("key"), "key"))
+        now = now.join(left.select("key"), "key")
         last = pending <= pairs_a_row * rows or turn == max_rounds
         if last:
-            pairs = _pairs(now, now, F.col("x.node") < F.col("y.node"))
+            pairs = _pairs(now, now, pairs_of)
         else:
             order = F.struct(F.xxhash64("node", F.lit(turn)).alias("_order"),
                              "node", "n", "pos", "behind", "root")
             leaders = now.groupBy("key").agg(F.min(order).alias("lead")).select("key", "lead.*")
             pairs = _pairs(leaders, now, F.lit(True))
         new = cut(_links(cut(pairs), sets).distinct())
-        edges = new if edges is None else edges.unionByName(new)
+        edges = edges.unionByName(new)
         if last:
             break
-        now = _hooked(now, new)
-    if edges is None:
-        return sets.select("node", F.col("node").alias("root")).limit(0)
+        roots = cut(_hooked(roots, new))
     return components(edges)
 
 
+def _merged_roots(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """`roots` after whole components of `edges`."""
+    found = components(edges).withColumnRenamed("root", "_new")
+    return roots.join(found, "node", "left").select("node", F.coalesce("_new", "root").alias("root"))
+
+
 def similar_documents(docs: DataFrame, words: int = WORDS, thin: int = THIN,
                       part: int = PART) -> DataFrame:
     """Per row of (doc_id, text): doc_id, n_shingles and component_id, the least doc_id linked to it.
