@@ -208,6 +208,13 @@ select down.id as "Id", root as "RootId", depth::bigint as depth, n::bigint as n
   case when depth > 0 then 'reply' when parent is null then 'root' else 'lost parent' end as kind
 from down join below on above = down.id""",
 
+    "event_schedule_asof": """with rows as (
+  select event_id, event_type, user_id % 5 as board, epoch_us(ts) as micros from events),
+states as (select board, micros, max(event_id) as set_by, arg_max(event_type, event_id) as status
+  from rows where event_type in ('signup', 'error') group by all)
+select event_id, rows.board, set_by, status
+from rows asof left join states on rows.board = states.board and rows.micros >= states.micros""",
+
     "listing_select": f"""with {_L}
 select board, fullname, created_ms, permalink from organic""",
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions import scalars as fx
-from threadloom.operators import documents, extract, forest, ledger, listing, parse, route, threads
+from threadloom.operators import asof, documents, extract, forest, ledger, listing, parse, route, threads
 from threadloom.plans import publish, views
 from threadloom.session import ensure_checkpoint_dir
 from threadloom.sources import tables
@@ -183,6 +183,20 @@ def comment_depths(spark, sf_dir):
     return forest.forest(replies.select("Id", "ParentCommentId"))
 
 
+@query
+def event_schedule_asof(spark, sf_dir):
+    """For each event the state of its board's schedule, which signups and errors set."""
+    rows = views.table(spark, sf_dir, "events").select(
+        "event_id", "event_type", "value", (F.col("user_id") % 5).alias("board"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    states = rows.where(F.col("event_type").isin("signup", "error")).select(
+        "board", "at", F.col("event_id").alias("set_by"), F.col("event_type").alias("status"))
+    day = 86_400_000_000
+    return asof.asof_join(rows, states, "board", "at", "set_by", day).select(
+        "event_id", "board", F.col("state.set_by").alias("set_by"),
+        F.col("state.status").alias("status"))
+
+
 # --- listings --------------------------------------------------------------------------------
 
 _LISTED = ["board", "fullname", "created_ms"]
