@@ -41,6 +41,8 @@ THIN = 3  # of the n-grams, one of so many is counted in the first pass
 PART, SLICE = 1 << 20, 1 << 20
 # Rounds of leaders end when so many pairs per prefix n-gram are left, or after so many.
 PAIRS_A_ROW, MAX_ROUNDS = 2, 5
+# Sets (of some 20 prefix rows each) that a task compares, where there are more than tasks for them.
+SETS_A_TASK = 5_000
 FEW = 32  # sets under an n-gram that are compared in pairs at once
 SEED = 42
 CLASSES = 4  # of the suffix filter, 16 bits each in a long
@@ -344,10 +346,17 @@ def set_components(sets: DataFrame, max_rounds: int = MAX_ROUNDS, pairs_a_row: i
     Up to `few` sets under an n-gram are compared in pairs at once. The others are rounds of leaders;
     rows stay dealt by n-gram, and only the small table of roots is renewed in each round.
     """
-    bounded = sets.count() <= MAX_BROADCAST_KEYS
+    many = sets.count()
+    bounded = many <= MAX_BROADCAST_KEYS
+    tasks = max(sets.sparkSession.sparkContext.defaultParallelism, -(-many // SETS_A_TASK))
+
+    def kept(rows: DataFrame) -> DataFrame:
+        """As `cut`, in as many tasks as the sets need: what follows a shuffle here is small."""
+        return cut(rows.coalesce(tasks))
+
     keyed = sets.select("node", "n", F.inline("keys"))
     held = keyed.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
-    keyed = cut(keyed.join(held, "key"))
+    keyed = kept(keyed.join(held, "key"))
     roots = sets.select("node", F.col("node").alias("root"))
 
     def rooted(rows: DataFrame) -> DataFrame:
@@ -355,16 +364,16 @@ def set_components(sets: DataFrame, max_rounds: int = MAX_ROUNDS, pairs_a_row: i
 
     pairs_of = F.col("x.node") < F.col("y.node")
     small = keyed.where(F.col("sets") <= few).withColumn("root", F.col("node"))
-    edges = cut(_links(cut(_pairs(small, small, pairs_of)), sets).distinct())
-    roots = cut(_merged_roots(roots, edges))
-    live = cut(keyed.where(F.col("sets") > few).drop("sets"))
+    edges = kept(_links(kept(_pairs(small, small, pairs_of)), sets).distinct())
+    roots = kept(_merged_roots(roots, edges, tasks))
+    live = kept(keyed.where(F.col("sets") > few).drop("sets"))
     rows = live.count()
     for turn in range(max_rounds + 1):
         now = rooted(live)
         per_key = now.groupBy("key", "root").agg(F.count("*").alias("k")).groupBy("key").agg(
             F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("same"))
         # an n-gram whose sets are all in one component is done
-        left = cut(per_key.where("all * all > same"))
+        left = kept(per_key.where("all * all > same"))
         pending = left.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()[0] or 0
         if not pending:
             break
@@ -377,17 +386,17 @@ def set_components(sets: DataFrame, max_rounds: int = MAX_ROUNDS, pairs_a_row: i
                              "node", "n", "pos", "behind", "root")
             leaders = now.groupBy("key").agg(F.min(order).alias("lead")).select("key", "lead.*")
             pairs = _pairs(leaders, now, F.lit(True))
-        new = cut(_links(cut(pairs), sets).distinct())
+        new = kept(_links(kept(pairs), sets).distinct())
         edges = edges.unionByName(new)
         if last:
             break
-        roots = cut(_hooked(roots, new))
-    return components(edges)
+        roots = kept(_hooked(roots, new))
+    return components(edges, tasks)
 
 
-def _merged_roots(roots: DataFrame, edges: DataFrame) -> DataFrame:
+def _merged_roots(roots: DataFrame, edges: DataFrame, tasks: int) -> DataFrame:
     """`roots` after whole components of `edges`."""
-    found = components(edges).withColumnRenamed("root", "_new")
+    found = components(edges, tasks).withColumnRenamed("root", "_new")
     return roots.join(found, "node", "left").select("node", F.coalesce("_new", "root").alias("root"))
 
 

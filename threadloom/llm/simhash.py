@@ -187,13 +187,17 @@ def _forests(stored: DataFrame, asked: DataFrame, radius: int) -> DataFrame:
         forest, "a bigint, b bigint")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, tasks: int | None = None) -> DataFrame:
     """`node` and `root`, the least node it is connected to, for every node of `edges` (a, b).
 
     Alternating large-star and small-star rounds; only a node's minimum is gathered, so a node of
-    any degree is aggregated in parts. Each round is written to the checkpoint folder.
+    any degree is aggregated in parts. Each round is written to the checkpoint folder, by `tasks`
+    tasks at most where that is given.
     """
-    edges = cut(edges.where("a <> b").select(
+    def kept(rows: DataFrame) -> DataFrame:
+        return cut(rows.coalesce(tasks) if tasks else rows)
+
+    edges = kept(edges.where("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
     for _ in range(MAX_ROUNDS):
@@ -206,7 +210,7 @@ def components(edges: DataFrame) -> DataFrame:
         # small star: neighbours below a node, and the node, are hooked to the least of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        edges = cut(
+        edges = kept(
             small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         state = edges.agg(
