@@ -113,3 +113,58 @@ def test_words_give_what_whole_texts_give():
     texts = ["the quick brown fox's tail", "Ünïcode wörds, and (punctuation)!?", "a\nb c\td e", "x"]
     by_word = dict(code.align_all(pa.array(texts)))
     assert [by_word[i] for i in range(len(texts))] == code._words(texts)
+
+
+def test_libraries_see_many_words_at_once():
+    code, seen = aligning.Aligner(A, B), []
+
+    class Counting:
+        def __init__(self, model, call):
+            self.call = getattr(model, call)
+
+        def encode(self, texts, **options):
+            seen.append(len(texts))
+            return self.call(texts, **options)
+
+        encode_batch_fast = encode
+
+    code.a, code.b = Counting(code.a, "encode_batch_fast"), Counting(code.b, "encode")
+    texts = [" ".join(f"word{i}x{j}, Other{i * j}." for j in range(50)) for i in range(40)]
+    found = dict(code.align_all(pa.array(texts)))
+    assert sum(seen) <= 40  # for more than 2,000 distinct words
+    fresh = aligning.Aligner(A, B)
+    assert [found[i] for i in range(len(texts))] == fresh._words(texts)
+
+
+@pytest.mark.parametrize("run", [1, 3, 256])
+def test_runs_with_words_that_are_not_spelt_or_hold_white_space(monkeypatch, run):
+    monkeypatch.setattr(aligning, "RUN", run)
+    code = aligning.Aligner(A, B)
+    words = ["plain", "under▁bar", "\x00null", "x\ny", "\tled", "ends\n\n", "　wide", "é漢字", "<s>",
+             "<|endoftext|>", "don't", "12.5", "\U0001f600", "more", "words"]
+    texts = [f"{a} {b}" for a in words for b in words] + ["▁", "▁ ▁", "\n", "one"]
+    even = [t for t in texts if not pa.compute.match_substring_regex(
+        pa.array([t]), aligning.UNEVEN)[0].as_py()]
+    for some in (texts, even, ["under▁bar"], []):
+        found = dict(code.align_all(pa.array(some, pa.string())))
+        assert [found[i] for i in range(len(some))] == code._words(some)
+    assert code._words(["a▁b"]) == [None]
+
+
+def test_texts_handed_on_in_parts_keep_their_keys(monkeypatch):
+    class Run:  # in place of a table: gives back what a task does
+        def mapInArrow(self, run, schema):
+            return run
+
+    texts = [f"word {i} more" for i in range(7)] + ["a\tb  c", "under▁bar"]
+    n = list(range(len(texts)))
+    batch = pa.RecordBatch.from_pydict({"r": n, "s": n, "copies": n, "text": texts})
+    task = aligning.aligned_texts(Run(), A, B)
+    whole = [row for b in task([batch]) for row in b.to_pylist()]
+    monkeypatch.setattr(aligning, "OUT_TEXTS", 2)
+    parts = list(task([batch]))
+    assert max(b.num_rows for b in parts) <= 2
+    assert [row for b in parts for row in b.to_pylist()] == whole
+    assert sorted(row["r"] for row in whole) == n
+    for row in whole:
+        assert row["n_a"] == (aligning.Aligner(A, B)._words([texts[row["r"]]])[0] or [None])[0]

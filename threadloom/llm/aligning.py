@@ -7,7 +7,8 @@ of which there are at most as many as the product of the vocabularies, meet the
 bucket, and the measures of a text are joined to its documents by a digest of 128 bits.
 
 Both tokenizers begin a new token at a single space between two other characters, so such texts are
-cut there and every distinct word is aligned once; any other text goes to the libraries whole.
+cut there and each distinct word of a slice of texts is aligned once, in runs of many words; any other
+text goes to the libraries whole.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
@@ -23,19 +25,21 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.memory import Memory, keep_only
+from threadloom.llm.memory import keep_only
 from threadloom.llm.pieces import BYTE, SPACE, PieceCodec, fields
 from threadloom.llm.shared import cut
 
-# Words that a worker remembers, twice over, and the longest such word: about 80 MB. Texts are
-# worked on in slices of about so many bytes.
-CACHE_WORDS, CACHE_CHARS, SLICE = 100_000, 32, 4 << 20
+# Texts are worked on in slices of about so many bytes. The tokenizers see so many of a slice's
+# distinct words at once, and in a call so many of such runs.
+SLICE, RUN, CALL = 4 << 20, 256, 16
+# Aligned texts that are handed on at a time.
+OUT_TEXTS = 1000
 # Hash buckets of the pair counts; counted pairs that are looked up at a time, and texts of a task.
 BUCKETS, PART, TASK_TEXTS = 64, 2_000_000, 100_000
 SEED = 42
 # White space beside a blank, after which a word would not begin at the blank.
 _WHITE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-UNEVEN = rf"^ | $| {_WHITE}|{_WHITE} "
+UNEVEN, EDGED = rf"^ | $| {_WHITE}|{_WHITE} ", rf"^{_WHITE}|{_WHITE}$"
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 ALIGNED = ("r bigint, s bigint, copies bigint, n_a bigint, n_b bigint, n_groups bigint, "
            "n_links bigint, groups_sha256 string, pairs binary, counts binary")
@@ -51,15 +55,27 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of all lists, one after the other, and where each list ends."""
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), np.cumsum(sizes)
+def packed(ends: np.ndarray, data: pa.Buffer) -> pa.LargeBinaryArray:
+    """Bytes cut at `ends`."""
+    offsets = np.append(0, ends).astype(np.int64)
+    return pa.Array.from_buffers(
+        pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), data])
 
 
-def between(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Sums of `values` up to each of `ends`, from the one before."""
-    return np.diff(np.concatenate(([0], np.cumsum(values)))[ends], prepend=0)
+@dataclass
+class Table:
+    """Aligned words: tokens of each side, groups and links; the groups as text; packed pairs."""
+
+    numbers: np.ndarray
+    groups: pa.LargeBinaryArray
+    pairs: pa.LargeBinaryArray
+
+    def row(self, own: np.ndarray) -> tuple:
+        """Those of the words `own`, one after the other."""
+        index = pa.array(own)
+        return (*self.numbers[own].sum(axis=0).tolist(),
+                *(bytes(column.take(index).buffers()[2] or b"")
+                  for column in (self.groups, self.pairs)))
 
 
 class Side:
@@ -99,62 +115,88 @@ class Aligner:
                 entries.append(bytes([int(text[3:5], 16)]) if piece.get(3, 1) == BYTE
                                else text.replace(SPACE, " ").encode())
         self.b_side = Side(entries, b";")
-        self.known = Memory(self._words, CACHE_WORDS, CACHE_CHARS)
+        self.sides = self.a_side, self.b_side
+        self.names = pa.array(self.a_side.names + self.b_side.names, pa.large_binary())
 
     def _words(self, texts: list[str]) -> list[tuple | None]:
         """Per text: A and B tokens, groups, links, groups as text (each with a
-        semicolon after it), pairs; None if bytes differ.
-
-        The texts that both tokenizers spell are laid out as one run of bytes, in which tokens and
-        groups are told by where they end.
+        semicolon after it), pairs; None if bytes differ."""
+        place, table = self._apart(texts)
+        return [table.row(np.array([i])) if i >= 0 else None for i in place.tolist()]
+
+    def _ids(self, wholes: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+        """A and B ids of texts, given with the space before them; None if either's tokens do not
+        spell the text."""
+        for at in range(0, len(wholes), CALL):
+            some = wholes[at:at + CALL]
+            a_ids = [c.ids for c in self.a.encode_batch_fast(some, add_special_tokens=False)]
+            b_ids = self.b.encode([w[1:] for w in some], num_threads=1)
+            for whole, *ids in zip(some, a_ids, b_ids, strict=True):
+                spelt = all(map(whole.encode().__eq__, map(Side.spell, self.sides, ids)))
+                yield tuple(np.array(x, np.int32) for x in ids) if spelt else None
+
+    def _apart(self, texts: list[str]) -> tuple[np.ndarray, Table]:
+        """Row of each text, -1 for one that is not spelt, and the table of those that are."""
+        return self._placed(len(texts), [
+            ([i], ids) for i, ids in enumerate(self._ids([" " + t for t in texts])) if ids],
+            np.array([len(t.encode()) + 1 for t in texts], np.int64))
+
+    def _in_runs(self, words: pa.Array) -> tuple[np.ndarray, Table]:
+        """As `_apart`, for words that both tokenizers tell from those around them.
+
+        They see many words at once. A run that is not spelt, or in which a token goes over a word's
+        end, is done word by word, as are words with white space at an end.
         """
-        wholes = [b" " + t.encode() for t in texts]
-        a_ids = [c.ids for c in self.a.encode_batch_fast(
-            [" " + t for t in texts], add_special_tokens=False)]
-        b_ids = self.b.encode(texts, num_threads=1)
-        good = self._spelt(wholes, a_ids, b_ids)
-        out: list[tuple | None] = [None] * len(texts)
-        if good:
-            for i, found in zip(good, self._aligned(
-                    [a_ids[i] for i in good], [b_ids[i] for i in good]), strict=True):
-                out[i] = found
-        return out
-
-    def _spelt(self, wholes: list[bytes], a_ids: list, b_ids: list) -> list[int]:
-        """Places of the texts that the tokens of both sides spell."""
-        good = list(range(len(wholes)))
-        for side, ids in ((self.a_side, a_ids), (self.b_side, b_ids)):
-            numbers, _ = flat([ids[i] for i in good])
-            spelt = [len(wholes[i]) for i in good]
-            sizes = between(side.sizes[numbers], flat([ids[i] for i in good])[1])
-            if not np.array_equal(sizes, spelt) or side.spell(numbers) != b"".join(
-                    wholes[i] for i in good):
-                good = [i for i in good if side.spell(ids[i]) == wholes[i]]
-        return good
-
-    def _aligned(self, a_ids: list, b_ids: list) -> Iterator[tuple]:
-        (a, a_last), (b, b_last) = flat(a_ids), flat(b_ids)
+        sizes = pc.binary_length(words).to_numpy().astype(np.int64) + 1
+        edged = pc.match_substring_regex(words, EDGED).to_numpy(zero_copy_only=False)
+        texts = words.to_pylist()
+        inner, alone, done = np.flatnonzero(~edged).tolist(), np.flatnonzero(edged).tolist(), []
+        runs = [inner[at:at + RUN] for at in range(0, len(inner), RUN)]
+        joined = [" " + " ".join(map(texts.__getitem__, run)) for run in runs]
+        for run, ids in zip(runs, self._ids(joined), strict=True):
+            if ids and all(np.isin(np.cumsum(sizes[run]), np.cumsum(side.sizes[own])).all()
+                           for side, own in zip(self.sides, ids, strict=True)):
+                done.append((run, ids))
+            else:
+                alone += run
+        done += [([i], ids) for i, ids in zip(
+            alone, self._ids([" " + texts[i] for i in alone]), strict=True) if ids]
+        return self._placed(len(texts), done, sizes)
+
+    def _placed(self, n: int, done: list, sizes: np.ndarray) -> tuple[np.ndarray, Table]:
+        places = np.fromiter(chain.from_iterable(run for run, _ in done), np.int64)
+        a, b = (np.concatenate([np.zeros(0, np.int64), *(ids[k] for _, ids in done)])
+                for k in (0, 1))
+        place = np.full(n, -1, np.int64)
+        place[places] = np.arange(len(places))
+        return place, self._aligned(a, b, np.cumsum(sizes[places]))
+
+    def _aligned(self, a: np.ndarray, b: np.ndarray, text_ends: np.ndarray) -> Table:
+        """Texts laid out as one run of bytes, in which tokens and groups are told by where they end."""
         a_ends, b_ends = np.cumsum(self.a_side.sizes[a]), np.cumsum(self.b_side.sizes[b])
-        common = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        cuts = np.union1d(a_ends, b_ends)
-        pairs = (a[np.searchsorted(a_ends, cuts)] * len(self.b_side.sizes)
-                 + b[np.searchsorted(b_ends, cuts)]).astype(np.uint32)
-        text_ends = a_ends[a_last - 1]
-        groups = np.diff(np.searchsorted(common, text_ends, "right"), prepend=0)
-        links_last = np.searchsorted(cuts, text_ends, "right")
+        total = int(text_ends[-1]) + 1 if len(text_ends) else 1
+        ends_a, ends_b = np.zeros(total, bool), np.zeros(total, bool)
+        ends_a[a_ends], ends_b[b_ends] = True, True
+        cuts = np.flatnonzero(ends_a | ends_b)
+        at_a, at_b = ends_a[cuts], ends_b[cuts]
+        pairs = (a[np.cumsum(at_a) - at_a] * len(self.b_side.sizes)
+                 + b[np.cumsum(at_b) - at_b]).astype(np.uint32)
         # in a group's text A's tokens come first, then B's; the group's last of each closes its side
-        a_group, b_group = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
-        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
-        a_closes, b_closes = common[a_group] == a_ends, common[b_group] == b_ends
-        names = (list(map(self.a_side.names.__getitem__, (2 * a + a_closes).tolist()))
-                 + list(map(self.b_side.names.__getitem__, (2 * b + b_closes).tolist())))
-        names = list(map(names.__getitem__, order.tolist()))
-        written, at, link = (a_last + b_last).tolist(), 0, 0
-        raw, n_a, n_b = pairs.tobytes(), map(len, a_ids), map(len, b_ids)
-        for x, y, g, end, last in zip(n_a, n_b, groups.tolist(), written, links_last.tolist(),
-                                      strict=True):
-            yield x, y, g, last - link, b"".join(names[at:end]), raw[4 * link:4 * last]
-            at, link = end, last
+        a_closes, b_closes = ends_b[a_ends], ends_a[b_ends]
+        a_group, b_group = np.cumsum(a_closes) - a_closes, np.cumsum(b_closes) - b_closes
+        a_until, b_until = np.flatnonzero(a_closes) + 1, np.flatnonzero(b_closes) + 1
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.append(0, b_until)[a_group]] = 2 * a + a_closes
+        order[np.arange(len(b)) + a_until[b_group]] = 2 * b + b_closes + len(self.a_side.names)
+        names = self.names.take(pa.array(order))
+        a_last, b_last = (np.searchsorted(e, text_ends, "right") for e in (a_ends, b_ends))
+        links_last = np.searchsorted(cuts, text_ends, "right")
+        groups_last = a_group[a_last - 1] + 1
+        name_ends = np.frombuffer(names.buffers()[1], np.int64)[a_last + b_last]
+        return Table(
+            np.diff(np.stack([a_last, b_last, groups_last, links_last], axis=1), axis=0, prepend=0),
+            packed(name_ends, names.buffers()[2]),
+            packed(4 * links_last, pa.py_buffer(pairs)))
 
     def align_all(self, texts: pa.Array) -> Iterator[tuple[int, tuple | None]]:
         """Place and alignment of every text, none of which is null or empty, in any order."""
@@ -176,27 +218,12 @@ class Aligner:
     def _by_word(self, texts: pa.Array) -> Iterator[tuple | None]:
         words = pc.split_pattern(texts, " ")
         named = words.flatten().dictionary_encode()
-        distinct = named.dictionary.to_pylist()
-        known = self.known.of(set(distinct))
-        found = list(map(known.__getitem__, distinct))
-        bad = np.fromiter((f is None for f in found), bool, len(found))
-        found = [f or (0, 0, 0, 0, b"", b"") for f in found]
-        numbers = np.array([f[:4] for f in found], np.int64)
-        groups = [f[4] for f in found]
-        pairs = np.frombuffer(b"".join(f[5] for f in found), np.uint32)
-        starts = np.cumsum(numbers[:, 3]) - numbers[:, 3]
-        codes = named.indices.to_numpy()
+        place, table = self._in_runs(named.dictionary)
+        codes = place[named.indices.to_numpy()]
         borders = words.offsets.to_numpy() - words.offsets[0].as_py()
-        for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
-            own = codes[a:b]
-            if bad[own].any():
-                yield None
-                continue
-            n = numbers[own, 3]
-            ends = np.cumsum(n)
-            linked = pairs[np.repeat(starts[own] - ends + n, n) + np.arange(ends[-1])]
-            yield (*numbers[own].sum(axis=0).tolist(),
-                   b"".join(map(groups.__getitem__, own.tolist())), linked.tobytes())
+        for x, y in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
+            own = codes[x:y]
+            yield table.row(own) if own.min() >= 0 else None
 
 
 def aligner(a_path: str, b_path: str) -> Aligner:
@@ -225,17 +252,24 @@ def aligned_texts(texts: DataFrame, a_path: str, b_path: str) -> DataFrame:
         return (*numbers, hashlib.sha256(groups[:-1]).hexdigest(), distinct.tobytes(),
                 small_counts(counts))
 
+    def batch_of(batch, places, rows):
+        own = batch.select(names[:3]).take(pa.array(places, pa.int64()))
+        types = [pa.int64()] * 4 + [pa.string(), pa.binary(), pa.binary()]
+        columns = zip(*rows, strict=True) if rows else [()] * 7
+        return pa.RecordBatch.from_arrays(
+            own.columns + [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
     def run(batches):
         code = aligner(a_path, b_path)
         for batch in batches:
-            rows = [None] * batch.num_rows
+            places, rows = [], []
             for i, found in code.align_all(batch.column("text").cast(pa.string())):
-                rows[i] = row(found)
-            types = [pa.int64()] * 4 + [pa.string(), pa.binary(), pa.binary()]
-            columns = zip(*rows, strict=True) if rows else [()] * 7
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names[:3]),
-                 *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names)
+                places.append(i)
+                rows.append(row(found))
+                if len(rows) == OUT_TEXTS:
+                    yield batch_of(batch, places, rows)
+                    places, rows = [], []
+            yield batch_of(batch, places, rows)
 
     return texts.mapInArrow(run, ALIGNED)
 
